@@ -115,19 +115,29 @@ def _verify(threshold: float):
     return run
 
 
-def verified(comp: DataFrame, elems: DataFrame, threshold: float, total: int, cell: int = CELL) -> DataFrame:
-    """True links inside components: ``comp(key, root, size)`` with the element counts, ``elems(key, elems)``."""
+def verified(comp: DataFrame, elems: DataFrame, threshold: float, total: int, cell: int = CELL, lead: str | None = None) -> DataFrame:
+    """True links inside components: ``comp(key, root, size)`` with the element counts, ``elems(key, elems)``.
+
+    Where many rows of ``elems`` can hold one key, ``lead`` names a column of both sides that picks
+    the row to use.  The elements of all items are dealt once, whatever the size of the other side,
+    so the join never turns from a broadcast into a shuffle as tables grow.
+    """
     whole = comp.groupBy("root").agg(F.sum("size").alias("whole"))
     bins = max(1, -(-total // cell))
     placed = comp.join(whole, "root").withColumn("g", F.ceil(F.col("whole") / F.lit(cell)).cast("int"))
     mine = F.pmod(F.xxhash64("key"), F.col("g")).cast("int")
     small = F.col("g") <= 1
+    pick = [lead] if lead else []
     placed = placed.select(
-        "key", F.when(small, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root")).alias("home"), small.alias("small"), mine.alias("mine"),
+        "key", *pick, F.when(small, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root")).alias("home"), small.alias("small"), mine.alias("mine"),
         F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("g") - 1))).alias("other"),
     )
     cells = placed.select(
-        "key", "home", "small", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        F.col("key").alias("k"), *[F.col(c).alias("chosen") for c in pick], "home", "small", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         F.when(F.col("small"), 0).otherwise(F.col("mine")).alias("side"),
     )
-    return cells.join(elems, "key").groupBy("home", "small", "i", "j").applyInArrow(_verify(threshold), "a long, b long")
+    same = elems.key == cells.k
+    if lead:
+        same = same & elems[lead].eqNullSafe(cells.chosen)
+    met = elems.join(cells.hint("merge"), same).select("home", "small", "i", "j", "side", "key", "elems")
+    return met.groupBy("home", "small", "i", "j").applyInArrow(_verify(threshold), "a long, b long")

@@ -129,7 +129,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingles(texts)
         keys = [s.content(i) for i in range(len(texts))]
         elems = [np.unique((occurrences(s.of(i)) >> U64(32)).astype(np.uint32)).tobytes() for i in range(len(texts))]
-        yield pa.record_batch({"doc_id": part.column(0), "key": pa.array(keys, pa.int64()), "elems": pa.array(elems, pa.binary())})
+        yield pa.record_batch({"lead": part.column(0), "key": pa.array(keys, pa.int64()), "elems": pa.array(elems, pa.binary())})
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -142,14 +142,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     near = components(edges, "collide").join(items.select("key", "lead", "size"), "key")
     near = write_scratch(near, "near")
     total = near.agg(F.sum("size")).first()[0] or 0
-    elems = source.mapInArrow(_elements, "doc_id long, key long, elems binary")
-    lead = near.select(F.col("key").alias("k"), "lead")
-    elems = elems.join(lead, (elems.key == lead.k) & elems.doc_id.eqNullSafe(lead.lead)).select("key", "elems")
-    same = components(verified(near.select("key", "root", "size"), elems, threshold, total), "same")
+    elems = source.mapInArrow(_elements, "lead long, key long, elems binary")
+    same = components(verified(near.select("key", "lead", "root", "size"), elems, threshold, total, lead="lead"), "same")
     member = sig.select("doc_id", "key", "size").join(same, "key", "left").withColumn("class", F.coalesce("root", "key"))
     member = member.select("doc_id", "key", "size", "class")
-    head = member.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return member.join(head, "class").select("doc_id", "key", "class_id", "class_size", F.col("size").alias("n_shingles"))
+    # a table of its own, so that the join below can split the rows of a large class
+    head = member.groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    head = write_scratch(head, "heads")
+    out = member.join(head, "class", "left")
+    first = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first"))
+    return out.select("doc_id", "key", first.alias("class_id"), F.coalesce("n", F.lit(1)).alias("class_size"), F.col("size").alias("n_shingles"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
