@@ -22,26 +22,38 @@ CELL = 1_500_000
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """Connected components of ``edges(a, b)`` as (key, root), root being the smallest key; nodes without edges are absent.
+    """Connected components of ``edges(a, b)`` as (key, root); nodes without edges are absent.
 
-    Labels fall by the smallest neighbour and by pointer jumping, so rounds grow with the logarithm of
-    the longest path; each round's labels are a table in the shared folder, and only one number
-    (whether anything changed) comes to the driver.
+    Rounds of contraction: every node points to its smallest neighbour or itself, pointers are
+    followed twice, and the edges between different pointers make the next, smaller graph.  Keys are
+    hashes, so a round removes a share of the nodes whatever the shape (a star or a clique takes one round) and
+    the tables shrink geometrically; they are written to the shared folder, and the driver sees only
+    whether edges are left.  At the end the pointers are composed from the last round to the first.
     """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).where("u != v")
     both = write_scratch(both.distinct(), f"{name}-edges")
-    label = write_scratch(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("l")), f"{name}-l")
+    steps = []
     while True:
-        near = both.join(label.select(F.col("u").alias("v"), F.col("l").alias("m")), "v").groupBy("u").agg(F.min("m").alias("m"))
-        low = label.join(near, "u").select("u", F.least("l", "m").alias("l"), F.col("l").alias("old"))
-        jump = label.select(F.col("u").alias("l"), F.col("l").alias("m"))
-        nxt = write_scratch(low.join(jump, "l").select("u", F.least("l", "m").alias("l"), "old"), f"{name}-l")
-        moved = nxt.where("l != old").limit(1).count()
-        drop_scratch(label)
-        label = nxt
-        if not moved:
-            drop_scratch(both)
-            return label.select(F.col("u").alias("key"), F.col("l").alias("root"))
+        low = write_scratch(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")), f"{name}-low")
+        follow = low.select(F.col("u").alias("p"), F.col("p").alias("q"))
+        point = write_scratch(low.join(follow, "p").select("u", F.col("q").alias("p")), f"{name}-point")
+        steps.append(point)
+        to = point.select(F.col("u").alias("v"), F.col("p").alias("q"))
+        nxt = both.join(point, "u").join(to, "v").select(F.col("p").alias("u"), F.col("q").alias("v")).where("u != v").distinct()
+        nxt = write_scratch(nxt, f"{name}-edges")
+        drop_scratch(both)
+        drop_scratch(low)
+        both = nxt
+        if both.isEmpty():
+            break
+    root = steps[-1]
+    for point in reversed(steps[:-1]):
+        up = root.select(F.col("u").alias("p"), F.col("p").alias("q"))
+        root = point.join(up, "p", "left").select("u", F.coalesce("q", "p").alias("p"))
+    out = write_scratch(root.select(F.col("u").alias("key"), F.col("p").alias("root")), f"{name}-roots")
+    for t in [both, *steps]:
+        drop_scratch(t)
+    return out
 
 
 def stars(bands: DataFrame) -> DataFrame:
@@ -108,7 +120,7 @@ def _verify(threshold: float):
         _, at = np.unique(key, return_index=True)
         key, side = key[at], t.column("side").to_numpy()[at]
         data = t.column("elems")
-        elems = [np.frombuffer(data[int(i)].as_py(), np.uint32) for i in at]
+        elems = [np.unique(np.frombuffer(data[int(i)].as_py(), np.uint32)) for i in at]
         pairs = links(elems, side, threshold)
         return pa.table({"a": pa.array([int(key[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(key[j]) for _, j in pairs], pa.int64())})
 
@@ -122,9 +134,10 @@ def verified(comp: DataFrame, elems: DataFrame, threshold: float, total: int, ce
     the row to use.  The elements of all items are dealt once, whatever the size of the other side,
     so the join never turns from a broadcast into a shuffle as tables grow.
     """
-    whole = comp.groupBy("root").agg(F.sum("size").alias("whole"))
+    # only components that need splitting, as a table of its own: the join can then split the rows of a large one
+    whole = write_scratch(comp.groupBy("root").agg(F.sum("size").alias("whole")).where(F.col("whole") > cell), "large")
     bins = max(1, -(-total // cell))
-    placed = comp.join(whole, "root").withColumn("g", F.ceil(F.col("whole") / F.lit(cell)).cast("int"))
+    placed = comp.join(whole, "root", "left").withColumn("g", F.coalesce(F.ceil(F.col("whole") / F.lit(cell)), F.lit(1)).cast("int"))
     mine = F.pmod(F.xxhash64("key"), F.col("g")).cast("int")
     small = F.col("g") <= 1
     pick = [lead] if lead else []
