@@ -59,9 +59,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def stars(bands: DataFrame) -> DataFrame:
     """Edges from every item to the smallest item of each of its bands; ``bands(key, band)``.
 
-    One exchange by band serves the minimum and the join.
+    One exchange by band serves the minimum and the join (the filter makes both sides the same plan).
     """
-    dealt = bands.repartition("band")
+    dealt = bands.where("band is not null and key is not null").repartition("band")
     centre = dealt.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("top")).where("b < top").select("band", "b")
     return dealt.join(centre, "band").where("key != b").select(F.col("key").alias("a"), "b").distinct()
 
@@ -119,8 +119,7 @@ def _verify(threshold: float):
         key = t.column("key").to_numpy()
         _, at = np.unique(key, return_index=True)
         key, side = key[at], t.column("side").to_numpy()[at]
-        data = t.column("elems")
-        elems = [np.unique(np.frombuffer(data[int(i)].as_py(), np.uint32)) for i in at]
+        elems = [np.unique(np.frombuffer(x, np.uint32)) for x in t.column("elems").combine_chunks().take(pa.array(at)).to_pylist()]
         pairs = links(elems, side, threshold)
         return pa.table({"a": pa.array([int(key[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(key[j]) for _, j in pairs], pa.int64())})
 
