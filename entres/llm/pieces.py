@@ -35,7 +35,7 @@ from .util import U64, mix64, slices, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT, DRAWS = 20240501, 0.1, 4
 LONG_UNIT = 40
-CACHE_UNITS = 300_000
+CACHE_UNITS = 500_000
 SPACE = "▁"
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _NONE = np.int32(1 << 30)
@@ -68,7 +68,7 @@ class Vocabulary:
         score = [sp.get_score(i) for i in range(n)]
         rank = np.empty(n, np.int32)
         rank[np.argsort([-s for s in score], kind="stable")] = np.arange(n)
-        self.rank = rank
+        self.rank, self.by_rank = rank, np.argsort(rank).astype(np.int32)
         keys, joined = [], []
         for p, i in self.ids.items():
             for cut in range(1, len(p)):
@@ -148,9 +148,9 @@ def agenda(v: Vocabulary, unit: str, key: int, dropout: float) -> list[int]:
     return [s for s in sym if s >= 0]
 
 
-def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) -> list[np.ndarray]:
-    """Segment many units at once: every step merges the best candidate of each unit that has one."""
-    out: list[np.ndarray] = [None] * len(units)  # type: ignore[list-item]
+def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) -> list[bytes]:
+    """Piece ids (int32 bytes) of many units at once: every step merges the best candidate of each unit that has one."""
+    out: list[bytes] = [b""] * len(units)  # type: ignore[list-item]
     chars = np.array([len(u) for u in units], np.int64)
     flat = v.char[np.frombuffer("".join(units).encode("utf-32-le"), "<u4")]
     first = np.concatenate(([0], np.cumsum(chars)))
@@ -159,7 +159,7 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
     size = chars.copy()
     size[odd] = [len(spelt[int(i)]) for i in odd]
     for i in np.flatnonzero(size > LONG_UNIT):
-        out[i] = np.array(agenda(v, units[i], keys[i], dropout), np.int32)
+        out[i] = np.array(agenda(v, units[i], keys[i], dropout), np.int32).tobytes()
     lo = 0
     for hi in (4, 8, 12, 16, 24, LONG_UNIT):
         chosen = np.flatnonzero((size > lo) & (size <= hi))
@@ -181,9 +181,12 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
 
         def rate(rows, cols, s, off, key):
             """Rank of the candidates at the given places, or _NONE."""
-            j = v.join(s[rows, cols], s[rows, cols + 1])
-            ok = np.flatnonzero(j >= 0)
-            r = np.full(len(j), _NONE, np.int32)
+            a, b = s[rows, cols], s[rows, cols + 1]
+            r = np.full(len(a), _NONE, np.int32)
+            ok = np.flatnonzero((a >= 0) & (b >= 0))
+            j = np.full(len(a), -1, np.int32)
+            j[ok] = v.join(a[ok], b[ok])
+            ok = ok[j[ok] >= 0]
             if len(ok):
                 keep = ~skipped(key[rows[ok]], off[rows[ok], cols[ok]], off[rows[ok], cols[ok] + 1], off[rows[ok], cols[ok] + 2], dropout)
                 r[ok[keep]] = v.rank[j[ok[keep]]]
@@ -198,15 +201,18 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
             row = np.arange(len(live))
             done = rank[row, best] >= _NONE
             if done.any():
-                for k in np.flatnonzero(done):
-                    x = s[k]
-                    out[chosen[live[k]]] = x[x >= 0].copy()
+                x = s[done]
+                ends = (4 * np.cumsum((x >= 0).sum(axis=1))).tolist()
+                data, a = x[x >= 0].tobytes(), 0
+                for i, b in zip(chosen[live[done]].tolist(), ends, strict=True):
+                    out[i] = data[a:b]
+                    a = b
                 keep = ~done
                 live, s, off, rank, key, best = live[keep], s[keep], off[keep], rank[keep], key[keep], best[keep]
                 row = np.arange(len(live))
                 if not len(live):
                     break
-            joined = v.join(s[row, best], s[row, best + 1])
+            joined = v.by_rank[rank[row, best]]
             shift = np.minimum(cols[None, :] + (cols[None, :] > best[:, None]), hi)
             s, rank = np.take_along_axis(s, shift, 1), np.take_along_axis(rank, shift, 1)
             s[:, hi], rank[:, hi] = -1, _NONE
@@ -217,8 +223,6 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
             left = np.flatnonzero(best > 0)
             if len(left):
                 rank[left, best[left] - 1] = rate(left, best[left] - 1, s, off, key)
-    for i in np.flatnonzero(size == 0):
-        out[i] = np.zeros(0, np.int32)
     return out
 
 
@@ -238,16 +242,19 @@ class Encoder:
             units = _UNIT.findall(" " + text) if text else []
             base = np.array([(doc * 0x9E3779B97F4A7C15 ^ self.seed) & ((1 << 64) - 1)], U64)
             draw = (mix64(mix64(base) + np.arange(len(units), dtype=U64)) % U64(self.draws)).tolist()
-            caches = [self.cache[d] for d in draw]
-            plan.append((units, caches))
-            for u, d, c in zip(units, draw, caches, strict=True):
-                if u not in c:
-                    missing[d].add(u)
-        todo = [(u, d) for d, us in enumerate(missing) for u in sorted(us)]
+            parts = [self.cache[d].get(u) for u, d in zip(units, draw, strict=True)]
+            gaps = [i for i, x in enumerate(parts) if x is None]
+            for i in gaps:
+                missing[draw[i]].add(units[i])
+            plan.append((parts, [(i, units[i], draw[i]) for i in gaps]))
+        todo = [(u, d) for d, us in enumerate(missing) for u in us]
         found = segment(self.v, [u for u, _ in todo], [unit_key(u, d, self.seed) for u, d in todo], self.dropout)
         for (u, d), x in zip(todo, found, strict=True):
-            self.cache[d][u] = x.tobytes()
-        return [np.frombuffer(b"".join([c[u] for u, c in zip(units, caches, strict=True)]), np.int32) for units, caches in plan]
+            self.cache[d][u] = x
+        for parts, gaps in plan:
+            for i, u, d in gaps:
+                parts[i] = self.cache[d][u]
+        return [np.frombuffer(b"".join(parts), np.int32) for parts, _ in plan]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -269,7 +276,7 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, dropout: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(proto.value, seed, dropout)
-        for part, raw in slices(batches, limit=1 << 20):
+        for part, raw in slices(batches, limit=3 << 20):
             texts = [t.decode("utf-8") for t in raw]
             pieces = enc.encode(texts, [i or 0 for i in part.column(0).to_pylist()])
             back = [enc.v.decode(x.tolist()) == t for x, t in zip(pieces, raw, strict=True)]
