@@ -20,6 +20,7 @@ repeated rows get equal pieces; extra columns are ignored; an empty table gives
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from .util import U64, mix64, slices, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT, DRAWS = 20240501, 0.1, 4
 LONG_UNIT = 40
-CACHE_UNITS = 500_000
+CACHE_UNITS = 400_000
 SPACE = "▁"
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _NONE = np.int32(1 << 30)
@@ -213,11 +214,12 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
                 if not len(live):
                     break
             joined = v.by_rank[rank[row, best]]
-            shift = np.minimum(cols[None, :] + (cols[None, :] > best[:, None]), hi)
-            s, rank = np.take_along_axis(s, shift, 1), np.take_along_axis(rank, shift, 1)
+            # everything right of the merged pair moves one place to the left
+            after = cols[None, :hi] > best[:, None]
+            s[:, :hi] = np.where(after, s[:, 1:], s[:, :hi])
+            rank[:, :hi] = np.where(after, rank[:, 1:], rank[:, :hi])
             s[:, hi], rank[:, hi] = -1, _NONE
-            wide = np.arange(hi + 2)
-            off = np.take_along_axis(off, np.minimum(wide[None, :] + (wide[None, :] > best[:, None]), hi + 1), 1)
+            off[:, :-1] = np.where(cols[None, :] > best[:, None], off[:, 1:], off[:, :-1])
             s[row, best] = joined
             rank[row, best] = rate(row, best, s, off, key)
             left = np.flatnonzero(best > 0)
@@ -235,14 +237,25 @@ class Encoder:
         self.cache: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
 
     def encode(self, texts: list[str], ids: list[int]) -> list[np.ndarray]:
+        """Piece ids of each text; the cyclic collector rests meanwhile, as nothing here makes cycles."""
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts, ids)
+        finally:
+            if was:
+                gc.enable()
+
+    def _encode(self, texts: list[str], ids: list[int]) -> list[np.ndarray]:
         if sum(map(len, self.cache)) > CACHE_UNITS:
             self.cache = [{} for _ in range(self.draws)]
         plan, missing = [], [set() for _ in range(self.draws)]
+        known = [c.get for c in self.cache]
         for text, doc in zip(texts, ids, strict=True):
             units = _UNIT.findall(" " + text) if text else []
             base = np.array([(doc * 0x9E3779B97F4A7C15 ^ self.seed) & ((1 << 64) - 1)], U64)
             draw = (mix64(mix64(base) + np.arange(len(units), dtype=U64)) % U64(self.draws)).tolist()
-            parts = [self.cache[d].get(u) for u, d in zip(units, draw, strict=True)]
+            parts = [known[d](u) for u, d in zip(units, draw, strict=True)]
             gaps = [i for i, x in enumerate(parts) if x is None]
             for i in gaps:
                 missing[draw[i]].add(units[i])

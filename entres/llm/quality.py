@@ -32,6 +32,8 @@ DIM = 16
 EPOCHS = 6
 RATE = 0.4
 GRAMS = (3, 4, 5)
+#: Bytes of text whose n-grams are held at once (a few hundred bytes of arrays for each).
+SLICE = 1 << 20
 THRESHOLD = 0.3
 
 
@@ -60,7 +62,7 @@ def features(texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[n
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document, distinct buckets and their weights in the sum of the two means."""
-    for part, texts in slices(batches):
+    for part, texts in slices(batches, limit=SLICE):
         rows: list[list] = [[] for _ in texts]
         for doc, bucket in features(texts):
             order = np.argsort(doc, kind="stable")
@@ -134,7 +136,7 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str]) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folded, bias = weights.value
-        for part, texts in slices(batches):
+        for part, texts in slices(batches, limit=SLICE):
             p = scores(texts, folded, bias)
             kept = {c: part.column(part.schema.get_field_index(c)) for c in keep}
             yield pa.record_batch(kept | {"score": p, "predicted": (p >= THRESHOLD).astype(np.int32)})
