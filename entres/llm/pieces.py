@@ -66,6 +66,9 @@ class Vocabulary:
                     raise ValueError("a piece crosses a space or a line break")
                 self.ids[p] = i
                 self.raw.append(p.replace(SPACE, " ").encode())
+        self.raw_size = np.array([len(r) for r in self.raw], np.int64)
+        self.raw_first = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_flat = np.frombuffer(b"".join(self.raw), np.uint8)
         score = [sp.get_score(i) for i in range(n)]
         rank = np.empty(n, np.int32)
         rank[np.argsort([-s for s in score], kind="stable")] = np.arange(n)
@@ -104,10 +107,22 @@ class Vocabulary:
         """The text of piece ids, the added leading space dropped."""
         return b"".join(map(self.raw.__getitem__, ids))[1:]
 
+    def decode_all(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Bytes of many pieces in a row, and where each piece ends."""
+        size = self.raw_size[ids]
+        end = np.cumsum(size)
+        at = np.repeat((self.raw_first[ids] - (end - size)).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.raw_flat[at].tobytes(), end
+
 
 def unit_key(unit: str, draw: int, seed: int) -> int:
     """Key of a unit and draw: a hash of all its characters, seeded by both."""
-    return xxhash.xxh64_intdigest(unit.encode(), (draw * 0xD1B54A32D192ED03 ^ seed) & ((1 << 64) - 1))
+    return xxhash.xxh64_intdigest(unit, draw_seed(draw, seed))
+
+
+def draw_seed(draw: int, seed: int) -> int:
+    return (draw * 0xD1B54A32D192ED03 ^ seed) & ((1 << 64) - 1)
 
 
 def skipped(key, i, j, k, dropout: float):
@@ -261,7 +276,8 @@ class Encoder:
                 missing[draw[i]].add(units[i])
             plan.append((parts, [(i, units[i], draw[i]) for i in gaps]))
         todo = [(u, d) for d, us in enumerate(missing) for u in us]
-        found = segment(self.v, [u for u, _ in todo], [unit_key(u, d, self.seed) for u, d in todo], self.dropout)
+        seeds = [draw_seed(d, self.seed) for d in range(self.draws)]
+        found = segment(self.v, [u for u, _ in todo], [xxhash.xxh64_intdigest(u, seeds[d]) for u, d in todo], self.dropout)
         for (u, d), x in zip(todo, found, strict=True):
             self.cache[d][u] = x
         for parts, gaps in plan:
@@ -292,9 +308,12 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, dropout: float
         for part, raw in slices(batches, limit=3 << 20):
             texts = [t.decode("utf-8") for t in raw]
             pieces = enc.encode(texts, [i or 0 for i in part.column(0).to_pylist()])
-            back = [enc.v.decode(x.tolist()) == t for x, t in zip(pieces, raw, strict=True)]
             edges = np.concatenate(([0], np.cumsum([len(x) for x in pieces]))).astype(np.int32)
-            flat = pa.ListArray.from_arrays(edges, np.concatenate(pieces) if pieces else np.zeros(0, np.int32))
+            every = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+            data, end = enc.v.decode_all(every)
+            bound = np.concatenate(([0], end))[edges].tolist()
+            back = [data[a + 1 : b] == t for a, b, t in zip(bound[:-1], bound[1:], raw, strict=True)]
+            flat = pa.ListArray.from_arrays(edges, every)
             yield pa.record_batch({"doc_id": part.column(0), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "n_pieces": pa.array([len(x) for x in pieces], pa.int64()), "pieces": flat, "lossless": back})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_chars long, n_pieces long, pieces array<int>, lossless boolean")

@@ -114,12 +114,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     known = known.where(F.col("doc_id").isNotNull() & (F.col("lo") == F.col("hi")))
     chosen = known.select("doc_id", F.col("lo").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"])
-    rows = texts.mapInArrow(_sparse, "doc_id long, label int, bucket binary, weight binary").toArrow().sort_by("doc_id")
-    samples = [
-        (np.frombuffer(b, "<i4"), np.frombuffer(w, "<f4"), int(y > 0))
-        for b, w, y in zip(rows.column("bucket").to_pylist(), rows.column("weight").to_pylist(), rows.column("label").to_pylist(), strict=True)
-    ]
-    return train(samples)
+    sparse = texts.mapInArrow(_sparse, "doc_id long, label int, bucket binary, weight binary")
+    # one task fits the model, on no more than ``sample`` rows; only the weights come to the driver
+    rows = sparse.repartition(1).mapInArrow(_train, "folded binary, bias double").collect()
+    return (np.frombuffer(rows[0].folded, "<f4"), rows[0].bias) if rows else train([])
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = []
+    for b in batches:
+        for i in range(b.num_rows):
+            rows.append((b.column(0)[i].as_py(), np.frombuffer(b.column(2)[i].as_py(), "<i4"), np.frombuffer(b.column(3)[i].as_py(), "<f4"), int(b.column(1)[i].as_py() > 0)))
+    rows.sort(key=lambda r: r[0])
+    folded, bias = train([r[1:] for r in rows])
+    yield pa.record_batch({"folded": pa.array([folded.astype("<f4").tobytes()], pa.binary()), "bias": [bias]})
 
 
 def scores(texts: list[bytes], folded: np.ndarray, bias: float) -> np.ndarray:
