@@ -36,7 +36,7 @@ from .util import U64, mix64, slices, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT, DRAWS = 20240501, 0.1, 4
 LONG_UNIT = 40
-CACHE_UNITS = 400_000
+CACHE_UNITS = 250_000
 SPACE = "▁"
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _NONE = np.int32(1 << 30)
@@ -246,8 +246,8 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
 class Encoder:
     """Encodes batches of texts; segmented units are cached up to ``CACHE_UNITS``."""
 
-    def __init__(self, proto: bytes, seed: int = SEED, dropout: float = DROPOUT, draws: int = DRAWS):
-        self.v, self.seed, self.dropout = Vocabulary(proto), seed, dropout
+    def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT, draws: int = DRAWS):
+        self.v, self.seed, self.dropout = vocabulary, seed, dropout
         self.draws = draws if dropout > 0 else 1
         self.cache: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
 
@@ -286,16 +286,16 @@ class Encoder:
         return [np.frombuffer(b"".join(parts), np.int32) for parts, _ in plan]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+_VOCABULARIES: dict[int, Vocabulary] = {}
 
 
-def _encoder(proto: bytes, seed: int, dropout: float) -> Encoder:
-    """The encoder of this Python worker: the vocabulary tables and the cache outlive a task."""
-    key = (hash(proto), seed, dropout)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(proto, seed, dropout)
-    return _ENCODERS[key]
+def _vocabulary(proto: bytes) -> Vocabulary:
+    """The tables of a vocabulary file, made once in each Python worker; caches of units last for one task only."""
+    key = hash(proto)
+    if key not in _VOCABULARIES:
+        _VOCABULARIES.clear()
+        _VOCABULARIES[key] = Vocabulary(proto)
+    return _VOCABULARIES[key]
 
 
 def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
@@ -304,7 +304,7 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, dropout: float
         proto = docs.sparkSession.sparkContext.broadcast(f.read())  # the vocabulary file, of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(proto.value, seed, dropout)
+        enc = Encoder(_vocabulary(proto.value), seed, dropout)
         for part, raw in slices(batches, limit=3 << 20):
             texts = [t.decode("utf-8") for t in raw]
             pieces = enc.encode(texts, [i or 0 for i in part.column(0).to_pylist()])
@@ -325,7 +325,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
         proto = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(proto.value)
+        v = _vocabulary(proto.value)
         for b in batches:
             yield pa.record_batch({"doc_id": b.column(0), "text": pa.array([v.decode(x or []).decode("utf-8") for x in b.column(1).to_pylist()], pa.string())})
 

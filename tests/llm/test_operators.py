@@ -229,7 +229,7 @@ def test_pieces(docs, empty):
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
-    plain = pieces.Encoder(proto, dropout=0.0)
+    plain = pieces.Encoder(pieces.Vocabulary(proto), dropout=0.0)
     texts = [t for t in TEXTS if t and pieces.SPACE not in t]
     assert [x.tolist() for x in plain.encode(texts, list(range(len(texts))))] == [sp.encode(t) for t in texts]
     units = [" " + w for w in VOCAB[:150]] + ["é日x", "a" * 60]
