@@ -23,7 +23,7 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 #: Texts per numpy batch are bounded by bytes, not by rows: a batch never exceeds this many bytes
 #: unless one text alone does.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
