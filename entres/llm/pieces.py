@@ -244,12 +244,17 @@ def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) ->
 
 
 class Encoder:
-    """Encodes batches of texts; segmented units are cached up to ``CACHE_UNITS``."""
+    """Encodes batches of texts; segmented units are cached up to about ``CACHE_UNITS``.
+
+    The cache has two generations: when the newer one holds half of the bound it becomes the older one,
+    and units found there move to the newer one, so frequent units outlive the many that occur once.
+    """
 
     def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT, draws: int = DRAWS):
         self.v, self.seed, self.dropout = vocabulary, seed, dropout
         self.draws = draws if dropout > 0 else 1
         self.cache: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
 
     def encode(self, texts: list[str], ids: list[int]) -> list[np.ndarray]:
         """Piece ids of each text; the cyclic collector rests meanwhile, as nothing here makes cycles."""
@@ -262,8 +267,8 @@ class Encoder:
                 gc.enable()
 
     def _encode(self, texts: list[str], ids: list[int]) -> list[np.ndarray]:
-        if sum(map(len, self.cache)) > CACHE_UNITS:
-            self.cache = [{} for _ in range(self.draws)]
+        if sum(map(len, self.cache)) > CACHE_UNITS // 2:
+            self.older, self.cache = self.cache, [{} for _ in range(self.draws)]
         plan, missing = [], [set() for _ in range(self.draws)]
         known = [c.get for c in self.cache]
         for text, doc in zip(texts, ids, strict=True):
@@ -271,10 +276,16 @@ class Encoder:
             base = np.array([(doc * 0x9E3779B97F4A7C15 ^ self.seed) & ((1 << 64) - 1)], U64)
             draw = (mix64(mix64(base) + np.arange(len(units), dtype=U64)) % U64(self.draws)).tolist()
             parts = [known[d](u) for u, d in zip(units, draw, strict=True)]
-            gaps = [i for i, x in enumerate(parts) if x is None]
-            for i in gaps:
-                missing[draw[i]].add(units[i])
-            plan.append((parts, [(i, units[i], draw[i]) for i in gaps]))
+            gaps = []
+            for i in [i for i, x in enumerate(parts) if x is None]:
+                u, d = units[i], draw[i]
+                x = self.older[d].get(u)
+                if x is None:
+                    missing[d].add(u)
+                    gaps.append((i, u, d))
+                else:
+                    parts[i] = self.cache[d][u] = x
+            plan.append((parts, gaps))
         todo = [(u, d) for d, us in enumerate(missing) for u in us]
         seeds = [draw_seed(d, self.seed) for d in range(self.draws)]
         found = segment(self.v, [u for u, _ in todo], [xxhash.xxh64_intdigest(u, seeds[d]) for u, d in todo], self.dropout)
