@@ -5,9 +5,12 @@ _RULE = """b AS (SELECT *, max(p) OVER (PARTITION BY cand) AS cmax FROM pairs),
 _PER_S1 = "per AS (SELECT s1, min(country) AS country, sum(y) AS np, sum(y*label) AS tp, sum(label) AS nt FROM pred GROUP BY s1)"
 _F = "CASE WHEN nt = 0 THEN CASE WHEN np = 0 THEN 1.0 ELSE 0.0 END WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp/cast(np AS double)) * (tp/cast(nt AS double)) / (0.25 * tp/cast(np AS double) + tp/cast(nt AS double)) END"
 
+#: A number from the first four hex digits of a hash h, in both dialects.
+_HEX4 = " + ".join(f"{16**i} * instr('0123456789abcdef', substr(h, {i + 1}, 1))" for i in range(4))
+
 SQL = {
     "l1_validation_split": "WITH s AS (SELECT DISTINCT country, s1 FROM pairs), r AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY md5(cast(s1 AS string)), s1) AS rk, count(*) OVER (PARTITION BY country) AS n FROM s) SELECT country, s1, CASE WHEN n >= 4 AND rk <= greatest(1, round(0.15*n)) THEN 'val' ELSE 'train' END AS split FROM r",
-    "l2_folds": "WITH s AS (SELECT DISTINCT s1 FROM pairs) SELECT s1, cast((row_number() OVER (ORDER BY md5(cast(s1 AS string)), s1)) % 3 AS bigint) AS fold FROM s",
+    "l2_folds": f"WITH s AS (SELECT DISTINCT s1, md5(cast(s1 AS string)) AS h FROM pairs) SELECT s1, cast(({_HEX4}) % 3 AS bigint) AS fold FROM s",
     "l10a_s1_side": """WITH r AS (SELECT s1, cand, p, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) AS rk, max(p) OVER (PARTITION BY s1) AS best, sum(p) OVER (PARTITION BY s1) AS total, count(*) OVER (PARTITION BY s1) AS n,
  sum(CASE WHEN p>=0.5 THEN 1 ELSE 0 END) OVER (PARTITION BY s1) AS n50, sum(CASE WHEN p>=0.9 THEN 1 ELSE 0 END) OVER (PARTITION BY s1) AS n90 FROM pairs)
  SELECT s1, cand, cast(rk-1 AS bigint) AS s1_rank, round(p/nullif(best,0), 9) AS p_div_s1max, round(total, 9) AS s1_sum, cast(n50 AS bigint) AS s1_n50, cast(n90 AS bigint) AS s1_n90, n AS s1_npairs, cast(rk-1-n50 AS bigint) AS rank_minus_n50 FROM r""",

@@ -51,16 +51,22 @@ for _name in ("d5_rewrites",):
 _s, _d = TWO["n4_non_ascii"]
 TWO["n4_non_ascii"] = (_s.replace("\\x", "\\\\x"), _d)
 
+#: Pairs from name words that no more than 15 S1 and 1500 candidates of a country have, and all words each pair shares.
+#: The caps bound the join of a frequent word; similarities are then taken over all words of the pair.
+_SHARED = """k AS (SELECT country, token, sum(CASE WHEN source='S1' THEN 1 ELSE 0 END) AS cs, sum(CASE WHEN source<>'S1' THEN 1 ELSE 0 END) AS cc FROM tok GROUP BY country, token),
+ ok AS (SELECT country, token FROM k WHERE cs BETWEEN 1 AND 15 AND cc BETWEEN 1 AND 1500),
+ pr AS (SELECT DISTINCT a.country, a.entity_id AS s1, b.entity_id AS cand FROM ok JOIN tok a ON a.country=ok.country AND a.token=ok.token AND a.source='S1' JOIN tok b ON b.country=ok.country AND b.token=ok.token AND b.source<>'S1'),
+ sh AS (SELECT pr.country, pr.s1, pr.cand, a.token FROM pr JOIN tok a ON a.entity_id=pr.s1 JOIN tok b ON b.entity_id=pr.cand AND b.token=a.token)"""
+_IDF = """n AS (SELECT country, count(*) AS n FROM recs GROUP BY country),
+ d AS (SELECT k.country, token, (ln((1+n)/cast(1+cs+cc AS double))+1)/(ln(1+n)+1) AS w FROM k JOIN n ON n.country=k.country)"""
+
 SQL |= {
-    "m7_jaccard": """WITH n AS (SELECT entity_id, count(*) AS n FROM tok GROUP BY entity_id), i AS (SELECT a.entity_id AS s1, b.entity_id AS cand, count(*) AS shared FROM tok a JOIN tok b ON a.country=b.country AND a.token=b.token WHERE a.source='S1' AND b.source<>'S1' AND length(a.token) >= 6 GROUP BY a.entity_id, b.entity_id)
+    "m7_jaccard": f"""WITH {_SHARED}, n AS (SELECT entity_id, count(*) AS n FROM tok GROUP BY entity_id), i AS (SELECT s1, cand, count(*) AS shared FROM sh GROUP BY s1, cand)
  SELECT s1, cand, round(shared/cast(x.n+y.n-shared AS double), 9) AS jaccard, round(shared/cast(least(x.n, y.n) AS double), 9) AS overlap FROM i JOIN n x ON x.entity_id=s1 JOIN n y ON y.entity_id=cand""",
-    "m6_tfidf_cosine": """WITH n AS (SELECT country, count(*) AS n FROM recs GROUP BY country), d AS (SELECT country, token, count(*) AS df FROM tok GROUP BY country, token),
- w AS (SELECT t.entity_id, t.source, t.country, t.token, (ln((1+n)/cast(1+df AS double))+1)/(ln(1+n)+1) AS w FROM tok t JOIN d ON t.country=d.country AND t.token=d.token JOIN n ON n.country=t.country),
- l AS (SELECT entity_id, sqrt(sum(w*w)) AS len FROM w GROUP BY entity_id), dot AS (SELECT a.entity_id AS s1, b.entity_id AS cand, sum(a.w*b.w) AS dot FROM w a JOIN w b ON a.country=b.country AND a.token=b.token WHERE a.source='S1' AND b.source<>'S1' GROUP BY a.entity_id, b.entity_id)
+    "m6_tfidf_cosine": f"""WITH {_SHARED}, {_IDF}, l AS (SELECT entity_id, sqrt(sum(w*w)) AS len FROM tok JOIN d ON tok.country=d.country AND tok.token=d.token GROUP BY entity_id),
+ dot AS (SELECT s1, cand, sum(w*w) AS dot FROM sh JOIN d ON d.country=sh.country AND d.token=sh.token GROUP BY s1, cand)
  SELECT s1, cand, round(dot/(x.len*y.len), 7) AS cosine FROM dot JOIN l x ON x.entity_id=s1 JOIN l y ON y.entity_id=cand""",
-    "m8_shared_idf": """WITH n AS (SELECT country, count(*) AS n FROM recs GROUP BY country), d AS (SELECT country, token, count(*) AS df FROM tok GROUP BY country, token)
- SELECT a.entity_id AS s1, b.entity_id AS cand, round(max((ln((1+n)/cast(1+df AS double))+1)/(ln(1+n)+1)), 9) AS shared_max, round(sum((ln((1+n)/cast(1+df AS double))+1)/(ln(1+n)+1)), 9) AS shared_sum
- FROM tok a JOIN tok b ON a.country=b.country AND a.token=b.token JOIN d ON d.country=a.country AND d.token=a.token JOIN n ON n.country=a.country WHERE a.source='S1' AND b.source<>'S1' AND length(a.token) >= 5 GROUP BY a.entity_id, b.entity_id""",
+    "m8_shared_idf": f"""WITH {_SHARED}, {_IDF} SELECT s1, cand, round(max(w), 9) AS shared_max, round(sum(w), 9) AS shared_sum FROM sh JOIN d ON d.country=sh.country AND d.token=sh.token GROUP BY s1, cand""",
 }
 
 

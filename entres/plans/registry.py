@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from entres.operators import aggregates, blocking, decision, ranking, text
+from entres.operators import aggregates, blocking, decision, ranking, text, tokens
 from entres.sources import fixtures
 
 
@@ -18,7 +18,7 @@ def _run(spark, sf_dir, sql):
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-for module in (ranking, aggregates, decision, blocking, text):
+for module in (ranking, aggregates, decision, blocking, text, tokens):
     for name, sql in module.SQL.items():
         QUERIES[name] = _same(sql)
         ORACLE_SQL[name] = fixtures.with_views(sql, fixtures.DUCK)
