@@ -251,3 +251,21 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_unit_cache(monkeypatch):
+    """Pieces do not depend on when the cache turns over, and a unit that stays in use outlives the bound."""
+    with open(pieces.MODEL, "rb") as f:
+        v = pieces.Vocabulary(f.read())
+    rng = random.Random(5)
+    texts = [" ".join(["often", *("".join(rng.choices("abcdeé#", k=rng.randint(1, 9))) for _ in range(40))]) for _ in range(60)]
+    want = pieces.Encoder(v).encode(texts, list(range(60)))
+    monkeypatch.setattr(pieces, "CACHE_UNITS", 200)
+    enc = pieces.Encoder(v, draws=1)
+    whole = pieces.Encoder(v, draws=1).encode(texts, list(range(60)))
+    small = pieces.Encoder(v)
+    for i, t in enumerate(texts):
+        assert small.encode([t], [i])[0].tolist() == want[i].tolist()
+        assert enc.encode([t], [i])[0].tolist() == whole[i].tolist()
+        assert len(enc.cache[0]) + len(enc.older[0]) < 400
+    assert " often" in enc.cache[0] or " often" in enc.older[0]
