@@ -212,6 +212,23 @@ def test_substring(docs, empty):
     assert substring.repeats(empty).count() == 0
 
 
+def kept_runs(texts):
+    """Whether the texts have a paragraph in common."""
+    p = substring.Paragraphs([t.encode() for t in texts])
+    keys = [set(p.key[p.doc == d].tolist()) for d in range(len(texts))]
+    return bool(set.intersection(*keys))
+
+
+def test_passages_without_sentences():
+    """A pasted run of 51 words shares a paragraph at every offset, with no sentence end anywhere."""
+    rng = random.Random(8)
+    for k in range(200):
+        run = " ".join(rng.choices(VOCAB, k=51))
+        texts = [" ".join(rng.choices(VOCAB, k=k % 23)) + " " + run + " " + " ".join(rng.choices(VOCAB, k=30)) for _ in range(2)]
+        texts[1] = " ".join(rng.choices(VOCAB, k=k % 7)) + " " + texts[1]
+        assert kept_runs(texts)
+
+
 def test_licenses(spark, empty):
     rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/x.py", prose(40)), (3, "a/b/COPYING", "Licensed under CC BY-NC 4.0."), (4, "a/b/c/y.py", prose(20)), (5, "z/q.py", None), (6, "a/h.py", prose(30) + "\nLicensed under the Apache License, Version 2.0.\n" + prose(9)), (7, None, "")]
     got = {r.doc_id: (r.license, r.origin, r.inherited_from) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
