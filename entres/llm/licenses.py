@@ -1,9 +1,11 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance down directories.
 
 Every line of a file, and the whole of a licence file, is compared with the templates.  A word
-weighs its inverse document frequency over all scanned texts; vectors are sparse and
-scaled to unit length.  Lines are pruned exactly: the heaviest words of each template whose removal leaves less than
-``THRESHOLD`` squared of its mass are anchors, and a line without an anchor cannot reach the threshold.
+weighs its inverse document frequency over all scanned texts, whether a template has it or not; vectors are sparse
+and scaled to unit length.  Lines are pruned exactly: the heaviest words of each template whose removal leaves less than
+``THRESHOLD`` squared of its mass are anchors, and a line without an anchor cannot reach the threshold.  Nor can a line that
+stays below it where every word of no template weighs 1, the least there is.  The few that are left are told apart by
+their set of words and joined with the document frequencies of those words, which are counted over all texts.
 
 A file without a licence of its own takes that of the nearest ancestor directory with a recognised licence file.
 Directories, not files, are joined with their ancestors' paths, so a directory that holds a third of
@@ -21,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import Words, slices, span_hash, table
+from .util import U64, Words, slices, span_hash, table, write_scratch
 
 THRESHOLD = 0.7
 #: Statements by which the licences are commonly declared, by SPDX identifier.
@@ -69,31 +72,34 @@ def template_words() -> tuple[list[tuple[str, np.ndarray]], np.ndarray]:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _, vocab = template_words()
-    total, n = np.zeros(len(vocab), np.int64), 0
     for _, texts in slices(batches):
         x = Lines(texts)
-        n += len(texts)
-        at = np.minimum(np.searchsorted(vocab, x.hash), len(vocab) - 1)
-        ok = vocab[at] == x.hash
-        pairs = np.unique(at[ok] * np.int64(len(texts)) + x.doc[ok])
-        total += np.bincount(pairs // max(1, len(texts)), minlength=len(vocab))
-    yield pa.record_batch({"word": np.arange(-1, len(vocab)), "n": np.concatenate(([n], total))})
+        order = np.lexsort((x.doc, x.hash))
+        word, doc = x.hash[order], x.doc[order]
+        new = np.append(True, (word[1:] != word[:-1]) | (doc[1:] != doc[:-1]))[: len(word)]
+        words, n = np.unique(word[new], return_counts=True)
+        yield pa.record_batch({"word": pa.array([None, *words.view(np.int64).tolist()], pa.int64()), "n": pa.array([len(texts), *n.tolist()], pa.int64())})
+
+
+def frequencies(files: DataFrame) -> DataFrame:
+    """Number of texts with each word hash (word, n); the null word counts all texts."""
+    counts = files.select("text").mapInArrow(_frequencies, "word long, n long")
+    return write_scratch(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-texts")
 
 
-def idf(files: DataFrame) -> tuple[np.ndarray, float]:
-    """Inverse document frequency of each template word over all texts, and that of a word of no template."""
-    rows = files.select("text").mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+def idf(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """Inverse document frequency of each template word, and the number of texts."""
     _, vocab = template_words()
-    df = {r.word: r.n for r in rows}
-    n = df.get(-1, 0)
-    return np.array([math.log((1 + n) / (1 + df.get(i, 0))) + 1 for i in range(len(vocab))]), math.log(1 + n) + 1
+    words = vocab.view(np.int64).tolist()
+    df = {r.word: r.n for r in counts.where(F.col("word").isNull() | F.col("word").isin(words)).collect()}
+    n = df.get(None, 0)
+    return np.array([math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in words]), n
 
 
 class Matcher:
-    def __init__(self, weights: np.ndarray, other: float):
+    def __init__(self, weights: np.ndarray, n: int):
         rows, self.vocab = template_words()
-        self.weights, self.other = weights, other
+        self.weights, self.n = weights, n
         self.vectors, anchors = [], set()
         for name, words in rows:
             at = np.searchsorted(self.vocab, words)
@@ -106,12 +112,11 @@ class Matcher:
         self.anchor = np.zeros(len(self.vocab), bool)
         self.anchor[list(anchors)] = True
 
-    def best(self, words: np.ndarray) -> tuple[float, str]:
-        """The closest template of a set of word hashes."""
-        words = np.unique(words)
+    def best(self, words: np.ndarray, df: np.ndarray | None = None) -> tuple[float, str]:
+        """The closest template of a set of distinct word hashes; without ``df`` (texts with each word) an upper bound of the score."""
         at = np.minimum(np.searchsorted(self.vocab, words), len(self.vocab) - 1)
         known = self.vocab[at] == words
-        w = np.where(known, self.weights[at], self.other)
+        w = np.where(known, self.weights[at], 1.0 if df is None else np.log((1 + self.n) / (1 + df)) + 1)
         norm = float(np.sqrt((w * w).sum()))
         mine = dict(zip(at[known].tolist(), w[known].tolist(), strict=True))
         top = (0.0, "")
@@ -121,35 +126,61 @@ class Matcher:
                 top = (dot, name)
         return top
 
-    def scan(self, texts: list[bytes], whole: list[bool]) -> list[tuple[float, str | None]]:
+    def likely(self, texts: list[bytes], whole: list[bool]) -> list[list[np.ndarray]]:
+        """Word sets of the lines, and of the licence files, of each text that may reach the threshold."""
         x = Lines(texts)
         at = np.minimum(np.searchsorted(self.vocab, x.hash), len(self.vocab) - 1)
         hit = (self.vocab[at] == x.hash) & self.anchor[at]
-        found: list[tuple[float, str | None]] = [(0.0, None)] * len(texts)
+        found: list[list[np.ndarray]] = [[] for _ in texts]
         lines = np.unique(x.line[hit])
         lo, hi = np.searchsorted(x.line, lines), np.searchsorted(x.line, lines, side="right")
         spans = [(int(x.doc[a]), a, b) for a, b in zip(lo, hi, strict=True)]
-        for d in {d for d, _, _ in spans if whole[d]}:
+        for d in sorted({d for d, _, _ in spans if whole[d]}):
             spans.append((d, int(np.searchsorted(x.doc, d)), int(np.searchsorted(x.doc, d, side="right"))))
         for d, a, b in spans:
-            score, name = self.best(x.hash[a:b])
-            if score >= THRESHOLD and score > found[d][0]:
-                found[d] = (score, name)
+            words = np.unique(x.hash[a:b])
+            if self.best(words)[0] >= THRESHOLD - 1e-9:
+                found[d].append(words)
         return found
 
 
-def scan(files: DataFrame) -> DataFrame:
-    """``files(doc_id, path, text)`` to one row a file: doc_id, path, license, score, origin and inherited_from."""
-    model = files.sparkSession.sparkContext.broadcast(idf(files))  # bounded by the template words
+def own_licences(files: DataFrame) -> DataFrame:
+    """``files(doc_id, path, text)`` to one row a file: doc_id, path, own licence or null, and score."""
+    counts = frequencies(files)
+    model = files.sparkSession.sparkContext.broadcast(idf(counts))  # bounded by the template words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Matcher(*model.value)
+        kind = pa.list_(pa.struct([("key", pa.int64()), ("words", pa.list_(pa.int64()))]))
         for part, texts in slices(batches):
             paths = part.column(1).to_pylist()
-            found = m.scan(texts, [(p or "").rsplit("/", 1)[-1].split(".")[0].upper() in LICENCE_FILES for p in paths])
-            yield pa.record_batch({"doc_id": part.column(0), "path": part.column(1), "own": pa.array([n for _, n in found], pa.string()), "score": pa.array([s for s, _ in found], pa.float64())})
+            found = m.likely(texts, [(p or "").rsplit("/", 1)[-1].split(".")[0].upper() in LICENCE_FILES for p in paths])
+            sets = [[{"key": xxhash.xxh64_intdigest(w.tobytes()) - (1 << 63), "words": w.view(np.int64).tolist()} for w in ws] for ws in found]
+            yield pa.record_batch({"doc_id": part.column(0), "path": part.column(1), "sets": pa.array(sets, kind)})
 
-    own = files.selectExpr("cast(doc_id as long) doc_id", "path", "text").mapInArrow(run, "doc_id long, path string, own string, score double")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Matcher(*model.value)
+        for b in batches:
+            top = []
+            for pairs in b.column(1).to_pylist():
+                pairs = sorted((p["word"] % (1 << 64), p["n"]) for p in pairs)
+                top.append(m.best(np.array([w for w, _ in pairs], U64), np.array([n for _, n in pairs], np.float64)))
+            yield pa.record_batch({"key": b.column(0), "own": pa.array([n for _, n in top], pa.string()), "score": pa.array([s for s, _ in top], pa.float64())})
+
+    rows = files.selectExpr("cast(doc_id as long) doc_id", "path", "text").mapInArrow(run, "doc_id long, path string, sets array<struct<key:long,words:array<long>>>")
+    rows = write_scratch(rows.withColumn("row", F.monotonically_increasing_id()), "licence-lines")
+    sets = rows.select("row", F.posexplode("sets").alias("at", "s")).select("row", "at", "s.key", "s.words")
+    words = sets.groupBy("key").agg(F.first("words").alias("words")).select("key", F.explode("words").alias("word"))
+    words = words.join(counts, "word").groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("pairs"))
+    scored = words.mapInArrow(score, "key long, own string, score double").where(F.col("score") >= THRESHOLD)
+    best = sets.select("row", "at", "key").join(scored, "key").groupBy("row").agg(F.max_by(F.struct("own", "score"), F.struct("score", -F.col("at"))).alias("b"))
+    out = rows.select("row", "doc_id", "path").join(best, "row", "left")
+    return write_scratch(out.select("doc_id", "path", F.col("b.own").alias("own"), F.coalesce("b.score", F.lit(0.0)).alias("score")), "own-licences")
+
+
+def scan(files: DataFrame) -> DataFrame:
+    """``files(doc_id, path, text)`` to one row a file: doc_id, path, license, score, origin and inherited_from."""
+    own = own_licences(files)
     name = F.element_at(F.split(F.coalesce("path", F.lit("")), "/"), -1)
     stem = F.upper(F.element_at(F.split(name, r"\."), 1))
     own = own.withColumn("dir", F.regexp_replace(F.coalesce("path", F.lit("")), "/?[^/]*$", "")).withColumn("is_file", stem.isin(*LICENCE_FILES))

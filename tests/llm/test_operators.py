@@ -236,6 +236,21 @@ def test_licenses(spark, empty):
     assert licenses.scan(licenses.document_paths(empty)).count() == 0
 
 
+def test_licenses_weigh_common_words(spark):
+    """A word of no template weighs its frequency too: here those around the statement are in every text."""
+    line = "Project code this is licensed under the Apache License, Version 2.0."
+    texts = ["project code is ours\n" + prose(20) for _ in range(400)] + ["project code is ours\n" + line]
+    files = spark.createDataFrame([(i, f"d{i}/x.py", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    sets = [{w.strip(".,;:!?()[]\"'*#/") for w in t.lower().split()} - {""} for t in texts]
+    idf = lambda w: math.log((1 + len(texts)) / (1 + sum(w in s for s in sets))) + 1
+    words = lambda t: {w.strip(".,") for w in t.lower().split()}
+    a, b = words(line), words("Licensed under the Apache License, Version 2.0.")
+    want = sum(idf(w) ** 2 for w in a & b) / math.sqrt(sum(idf(w) ** 2 for w in a) * sum(idf(w) ** 2 for w in b))
+    got = {r.doc_id: r for r in licenses.scan(files).collect()}
+    assert abs(got[400].score - want) < 1e-9 and got[400].license == "Apache-2.0"
+    assert len(got) == 401 and got[3].license is None
+
+
 def test_pieces(docs, empty):
     encoded = pieces.encode(docs)
     assert encoded.where("lossless").count() == docs.count()
