@@ -229,6 +229,16 @@ def test_passages_without_sentences():
         assert kept_runs(texts)
 
 
+def test_passages_of_short_sentences():
+    """So does a run of lines or sentences of one to four words."""
+    rng = random.Random(9)
+    for k in range(200):
+        ends = ("!!", ".", "\n", "?")
+        run = " ".join(rng.choice(VOCAB) + (rng.choice(ends) if i % (1 + k % 4) == 0 else "") for i in range(51))
+        texts = [prose(rng.randrange(40), rng) + " " + run + " " + prose(30, rng) for _ in range(2)]
+        assert kept_runs(texts)
+
+
 def test_licenses(spark, empty):
     rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/x.py", prose(40)), (3, "a/b/COPYING", "Licensed under CC BY-NC 4.0."), (4, "a/b/c/y.py", prose(20)), (5, "z/q.py", None), (6, "a/h.py", prose(30) + "\nLicensed under the Apache License, Version 2.0.\n" + prose(9)), (7, None, "")]
     got = {r.doc_id: (r.license, r.origin, r.inherited_from) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
