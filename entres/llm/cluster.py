@@ -1,11 +1,17 @@
 """Links and connected components of near-duplicate items, without pair explosion.
 
-An item is (key long, bands array<long>); its elements, a set of 32-bit hashes, come from a second
-scan.  Items that share a band are linked to the smallest key of the band (a star, not all pairs),
-the stars' components are the only places where true links can be, and inside them every pair is
-decided exactly from the elements.  Small components share a task up to ``CELL`` elements; a larger
-one is split into blocks and each pair of blocks is a task, so no group is ever held whole.  A task
-returns a spanning forest of the links that it found, which gives the same components as all links.
+An item is (key long, bands); its elements, a set of 64-bit hashes, come from a second scan.  Only pairs
+that share a band are ever compared, and their Jaccard similarity is exact.
+
+1. *Stars.*  The smallest key of a band's items is its centre, and every item is compared with the
+   centres of its bands: as many comparisons as band rows, however large a group is.  Items that are
+   not similar to their centre form the band's next group, for ``ROUNDS`` rounds.
+2. *The rest.*  Jaccard distance is a metric: if a is within 1 - t of a centre and r is not within
+   2 (1 - t) of it, then a and r cannot be linked.  So what stars leave open are items between those
+   distances, against the items near that centre, and groups that are still there after the last
+   round.  Of these only pairs whose components differ are looked at, in tasks of bounded size.
+
+The components of all links found are those of all similar pairs that share a band.
 """
 
 from __future__ import annotations
@@ -15,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import drop_scratch, write_scratch
+from .util import U64, drop_scratch, mix64, write_scratch
 
 #: Elements that one verification task takes from each side.
 CELL = 1_500_000
+#: Rounds of stars before what is left of a band's items is compared in cells.
+ROUNDS = 3
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -41,8 +49,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         to = point.select(F.col("u").alias("v"), F.col("p").alias("q"))
         nxt = both.join(point, "u").join(to, "v").select(F.col("p").alias("u"), F.col("q").alias("v")).where("u != v").distinct()
         nxt = write_scratch(nxt, f"{name}-edges")
-        drop_scratch(both)
-        drop_scratch(low)
+        drop_scratch(both, low)
         both = nxt
         if both.isEmpty():
             break
@@ -51,105 +58,236 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         up = root.select(F.col("u").alias("p"), F.col("p").alias("q"))
         root = point.join(up, "p", "left").select("u", F.coalesce("q", "p").alias("p"))
     out = write_scratch(root.select(F.col("u").alias("key"), F.col("p").alias("root")), f"{name}-roots")
-    for t in [both, *steps]:
-        drop_scratch(t)
+    drop_scratch(both, *steps)
     return out
 
 
-def stars(bands: DataFrame) -> DataFrame:
-    """Edges from every item to the smallest item of each of its bands; ``bands(key, band)``.
+def groups(bands: DataFrame) -> DataFrame:
+    """``bands(key, band)`` to (band, key, centre), for bands of two and more items; the centre is the smallest key.
 
-    One exchange by band serves the minimum and the join (the filter makes both sides the same plan).
+    One exchange by band serves the minimum, the join and the distinct rows.
     """
     dealt = bands.where("band is not null and key is not null").repartition("band")
-    centre = dealt.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("top")).where("b < top").select("band", "b")
-    return dealt.join(centre, "band").where("key != b").select(F.col("key").alias("a"), "b").distinct()
+    centre = dealt.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("top")).where("centre < top").select("band", "centre")
+    return dealt.join(centre, "band").select("band", "key", "centre").distinct()
+
+
+def _sets(elems: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All elements in one array, each set sorted and without repeats, and the bounds of the sets."""
+    flat = np.frombuffer(b"".join(elems), U64)
+    row = np.repeat(np.arange(len(elems)), [len(e) // 8 for e in elems])
+    order = np.lexsort((flat, row))
+    flat, row = flat[order], row[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = (flat[1:] != flat[:-1]) | (row[1:] != row[:-1])
+    flat, row = flat[new], row[new]
+    return flat, np.searchsorted(row, np.arange(len(elems) + 1))
+
+
+def _distinct(t: pa.Table, *names: str) -> pa.Table:
+    """One row for each value of the named long columns."""
+    cols = [t.column(n).to_numpy() for n in names]
+    order = np.lexsort(cols)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in cols], axis=0)
+    return t.take(pa.array(order[new]))
+
+
+def _judge(t: pa.Table) -> pa.Table:
+    """Exact similarity of each member of a star with its centre; rows (star, key, elems), the centre's key is the star's."""
+    t = _distinct(t, "star", "key")
+    star, key = t.column("star").to_numpy(), t.column("key").to_numpy()
+    flat, edge = _sets(t.column("elems").to_pylist())
+    size = np.diff(edge)
+    tag = np.repeat(mix64(star.view(U64)), size)
+    tagged = mix64(flat ^ tag) + tag  # an element within its star
+    middle = star == key
+    centre = np.sort(tagged[np.repeat(middle, size)])
+    found = np.zeros(len(flat) + 1, np.int64)
+    if len(centre):
+        at = np.minimum(np.searchsorted(centre, tagged), len(centre) - 1)
+        np.cumsum(centre[at] == tagged, out=found[1:])
+    over = found[edge[1:]] - found[edge[:-1]]
+    order = np.flatnonzero(middle)[np.argsort(star[middle])]
+    mine = order[np.minimum(np.searchsorted(star[order], star), max(0, len(order) - 1))] if len(order) else np.zeros(len(star), np.int64)
+    # a star whose centre sits in another part of it has been dealt a copy of the centre; without one nothing is said
+    ok = ~middle & (star[mine] == star) if len(order) else np.zeros(len(star), bool)
+    j = over / np.maximum(size + size[mine] - over, 1)
+    return pa.table({"a": key[ok], "b": star[ok], "j": j[ok]})
+
+
+def _sized(df: DataFrame, col: str, items: DataFrame | int, pick: list[str]) -> DataFrame:
+    """``df`` with the size (and lead) of the item named by ``col``; one number is the size of all."""
+    if isinstance(items, int):
+        return df.withColumn("size", F.lit(items))
+    return df.join(items.select(F.col("key").alias(col), "size", *pick), col)
+
+
+def judged(edges: DataFrame, items: DataFrame | int, elems: DataFrame, name: str, cell: int, lead: str | None = None) -> DataFrame:
+    """``edges(a, b)`` with the exact similarity ``j``; b is the centre of a star of a's.
+
+    ``items`` has the numbers of elements.  Small stars share a task up to ``cell`` elements, a
+    larger one is dealt to several, each with a copy of its centre.  Where many rows of ``elems`` can hold one key,
+    ``lead`` names a column of both sides that picks the row to use.
+    """
+    pick = [lead] if lead else []
+    sized = _sized(edges, "a", items, pick)
+    total = sized.agg(F.sum("size")).first()[0] or 0
+    bins = max(1, -(-2 * total // cell))
+    # only stars that need splitting, as a table of its own: the join can then split the rows of a large one
+    large = write_scratch(sized.groupBy("b").agg(F.ceil(F.sum("size") / F.lit(cell)).cast("int").alias("parts")).where("parts > 1"), f"{name}-large")
+    placed = sized.join(large, "b", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    home = lambda star: F.when(F.col("parts") > 1, star).otherwise(F.pmod(F.xxhash64(star), F.lit(bins)))
+    members = placed.select(F.col("a").alias("k"), F.col("b").alias("star"), home(F.col("b")).alias("home"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), *pick)
+    centres = _sized(edges.select("b").distinct(), "b", items, pick).join(large, "b", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    centres = centres.select(F.col("b").alias("k"), F.col("b").alias("star"), home(F.col("b")).alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *pick)
+    wanted = members.unionByName(centres)
+    if lead:
+        wanted = wanted.withColumnRenamed(lead, "chosen")
+    same = elems.key == wanted.k
+    if lead:
+        same = same & elems[lead].eqNullSafe(wanted.chosen)
+    met = elems.join(wanted.hint("merge"), same).select("home", "part", "star", "key", "elems")
+    out = write_scratch(met.groupBy("home", "part").applyInArrow(_judge, "a long, b long, j double"), f"{name}-judged")
+    drop_scratch(large)
+    return out
 
 
-def links(elems: list[np.ndarray], side: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs with Jaccard similarity of at least ``threshold``.
+def links(flat: np.ndarray, edge: np.ndarray, side: np.ndarray, root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets with similarity of at least ``threshold`` whose roots differ.
 
-    ``elems`` are sorted sets.  Where ``side`` has two values only pairs across them are looked at.
-    Overlaps of one item with all earlier ones are counted over the postings of its elements.
+    Where ``side`` has two values only pairs across them are looked at.  Overlaps of one item with all
+    earlier ones are counted over the postings of its elements; items of the commonest root come first
+    and are not compared with each other.
     """
-    n = len(elems)
-    size = np.array([len(e) for e in elems], np.int64)
-    flat = np.concatenate(elems) if n else np.zeros(0, np.uint32)
-    who = np.repeat(np.arange(n), size)
-    order = np.argsort(flat, kind="stable")
+    n, size = len(edge) - 1, np.diff(edge)
+    _, label, often = np.unique(root, return_inverse=True, return_counts=True)
+    place = np.lexsort((label, -often[label]))  # the rank-th item
+    rank = np.empty(n, np.int64)
+    rank[place] = np.arange(n)
+    first_label = label[place[0]] if n else -1
+    who = rank[np.repeat(np.arange(n), size)]
+    order = np.lexsort((who, flat))
     post = who[order]
-    uniq, slot, df = np.unique(flat, return_inverse=True, return_counts=True)
+    _, slot, df = np.unique(flat, return_inverse=True, return_counts=True)
     first = np.cumsum(df) - df
-    edge = np.concatenate(([0], np.cumsum(size)))
-    # how many postings of each element precede this item
-    seen = np.empty(len(flat), np.int64)
+    seen = np.empty(len(flat), np.int64)  # how many postings of each element precede this item
     seen[order] = np.arange(len(flat)) - np.repeat(first, df)
     across = len(np.unique(side)) > 1
-    root = np.arange(n)
+    parent = np.arange(n)
 
     def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
         return i
 
     out = []
-    for i in range(n):
-        s = slot[edge[i] : edge[i + 1]]
-        c = seen[edge[i] : edge[i + 1]]
+    for i in place:
+        if label[i] == first_label:
+            continue
+        s, c = slot[edge[i] : edge[i + 1]], seen[edge[i] : edge[i + 1]]
         s, c = s[c > 0], c[c > 0]
         if not len(s) or len(s) < threshold * size[i]:
             continue
         at = np.repeat(first[s] - (np.cumsum(c) - c), c) + np.arange(c.sum())
-        over = np.bincount(post[at], minlength=i)[:i]
-        j = np.flatnonzero(over)
-        j = j[over[j] >= threshold * (size[i] + size[j] - over[j]) - 1e-9]
+        over = np.bincount(post[at], minlength=1)
+        r = np.flatnonzero(over)
+        j = place[r]
+        ok = (over[r] >= threshold * (size[i] + size[j] - over[r]) - 1e-9) & (label[j] != label[i])
         if across:
-            j = j[side[j] != side[i]]
-        for k in j:
-            a, b = find(i), find(int(k))
+            ok &= side[j] != side[i]
+        for k in j[ok]:
+            a, b = find(int(i)), find(int(k))
             if a != b:
-                root[max(a, b)] = min(a, b)
-                out.append((i, int(k)))
+                parent[max(a, b)] = min(a, b)
+                out.append((int(i), int(k)))
     return out
 
 
-def _verify(threshold: float):
+def _compare(threshold: float):
     def run(t: pa.Table) -> pa.Table:
-        key = t.column("key").to_numpy()
-        _, at = np.unique(key, return_index=True)
-        key, side = key[at], t.column("side").to_numpy()[at]
-        elems = [np.unique(np.frombuffer(x, np.uint32)) for x in t.column("elems").combine_chunks().take(pa.array(at)).to_pylist()]
-        pairs = links(elems, side, threshold)
+        t = _distinct(t, "key", "side")
+        key, side, root = (t.column(c).to_numpy() for c in ("key", "side", "root"))
+        flat, edge = _sets(t.column("elems").to_pylist())
+        pairs = links(flat, edge, side, root, threshold)
         return pa.table({"a": pa.array([int(key[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(key[j]) for _, j in pairs], pa.int64())})
 
     return run
 
 
-def verified(comp: DataFrame, elems: DataFrame, threshold: float, total: int, cell: int = CELL, lead: str | None = None) -> DataFrame:
-    """True links inside components: ``comp(key, root, size)`` with the element counts, ``elems(key, elems)``.
+def compared(cells: DataFrame, items: DataFrame | int, elems: DataFrame, threshold: float, cell: int, lead: str | None = None) -> DataFrame:
+    """Links between the items of each home of ``cells(home, side, key, root)`` whose roots differ.
 
-    Where many rows of ``elems`` can hold one key, ``lead`` names a column of both sides that picks
-    the row to use.  The elements of all items are dealt once, whatever the size of the other side,
-    so the join never turns from a broadcast into a shuffle as tables grow.
+    Side 0 meets side 1, and side 2 meets itself.  A side larger than ``cell`` is dealt into blocks, and each pair of
+    blocks that have to meet is a task.
     """
-    # only components that need splitting, as a table of its own: the join can then split the rows of a large one
-    whole = write_scratch(comp.groupBy("root").agg(F.sum("size").alias("whole")).where(F.col("whole") > cell), "large")
-    bins = max(1, -(-total // cell))
-    placed = comp.join(whole, "root", "left").withColumn("g", F.coalesce(F.ceil(F.col("whole") / F.lit(cell)), F.lit(1)).cast("int"))
-    mine = F.pmod(F.xxhash64("key"), F.col("g")).cast("int")
-    small = F.col("g") <= 1
     pick = [lead] if lead else []
-    placed = placed.select(
-        "key", *pick, F.when(small, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root")).alias("home"), small.alias("small"), mine.alias("mine"),
-        F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("g") - 1))).alias("other"),
-    )
-    cells = placed.select(
-        F.col("key").alias("k"), *[F.col(c).alias("chosen") for c in pick], "home", "small", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        F.when(F.col("small"), 0).otherwise(F.col("mine")).alias("side"),
-    )
-    same = elems.key == cells.k
+    sized = _sized(cells.distinct(), "key", items, pick)
+    n = sized.groupBy("home").pivot("side", [0, 1, 2]).agg(F.ceil(F.sum("size") / F.lit(cell)))
+    n = n.select("home", *[F.coalesce(F.col(str(s)), F.lit(1)).cast("int").alias(f"n{s}") for s in (0, 1, 2)])
+    placed = sized.join(write_scratch(n, "blocks"), "home")
+    block = lambda count: F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
+    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    mine = F.when(F.col("side") == 0, block("n0")).when(F.col("side") == 1, block("n1")).otherwise(block("n2"))
+    placed = placed.withColumn("mine", mine)
+    placed = placed.withColumn("other", F.explode(F.when(F.col("side") == 0, every("n1")).when(F.col("side") == 1, every("n0")).otherwise(every("n2"))))
+    i = F.when(F.col("side") == 0, F.col("mine")).when(F.col("side") == 1, F.col("other")).otherwise(F.least("mine", "other"))
+    j = F.when(F.col("side") == 0, F.col("other")).when(F.col("side") == 1, F.col("mine")).otherwise(F.greatest("mine", "other"))
+    # blocks of side 2 that meet another block are two sides; a block that meets itself is one
+    side = F.when(F.col("side") < 2, F.col("side")).when(F.col("mine") == F.col("other"), 0).otherwise(F.col("mine"))
+    wanted = placed.select("home", (F.col("side") == 2).alias("own"), i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", F.col("key").alias("k"), *[F.col(c).alias("chosen") for c in pick])
+    same = elems.key == wanted.k
     if lead:
-        same = same & elems[lead].eqNullSafe(cells.chosen)
-    met = elems.join(cells.hint("merge"), same).select("home", "small", "i", "j", "side", "key", "elems")
-    return met.groupBy("home", "small", "i", "j").applyInArrow(_verify(threshold), "a long, b long")
+        same = same & elems[lead].eqNullSafe(wanted.chosen)
+    met = elems.join(wanted.hint("merge"), same).select("home", "own", "i", "j", "side", "root", "key", "elems")
+    return met.groupBy("home", "own", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
+
+
+def classes(bands: DataFrame, items: DataFrame | int, elems: DataFrame, threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, lead: str | None = None) -> DataFrame:
+    """(key, root) of the components of all pairs that share a band and have at least ``threshold`` similarity.
+
+    ``bands(key, band)``, ``items(key, size)`` or the size of all, ``elems(key, elems)`` with the elements as bytes of
+    64-bit hashes; items without a link are absent.
+    """
+    scratch, links_found, open_ends = [], None, []
+    keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
+    members = keep(groups(bands), "members")
+    for _ in range(rounds):
+        edges = members.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
+        seen = judged(edges, items, elems, name, cell, lead)
+        scratch.append(seen)
+        near = seen.where(F.col("j") >= threshold).select("a", "b")
+        links_found = near if links_found is None else links_found.union(near)
+        far = members.join(seen.where(F.col("j") < threshold), (F.col("key") == F.col("a")) & (F.col("centre") == F.col("b")))
+        far = keep(far.select("band", "key", "centre", "j"), "far")
+        open_ends.append((members, seen, far))
+        members = keep(groups(far.select("key", "band")), "members")
+        if members.isEmpty():
+            break
+    found = components(links_found, f"{name}-stars")
+    scratch.append(found)
+    named = lambda df, col, out: df.join(found.select(F.col("key").alias(col), F.col("root").alias(out)), col, "left").withColumn(out, F.coalesce(out, col))
+    # what rounds of stars left: side 2 of the band's own home
+    rest = named(members.select("band", "key"), "key", "root")
+    several = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
+    cells = rest.join(several, "band").select(F.col("band").alias("home"), F.lit(2).alias("side"), "key", "root")
+    for mine, seen, far in open_ends:
+        between = named(named(far.where(F.col("j") >= 2 * threshold - 1 - 1e-9), "key", "root"), "centre", "centre_root").where("root != centre_root")
+        between = keep(between.select("band", "centre", "key", "root"), "between")
+        if between.isEmpty():
+            continue
+        home = F.xxhash64("band", "centre")
+        cells = cells.union(between.select(home, F.lit(1), "key", "root"))
+        ends = between.select("band", "centre").distinct()
+        close = mine.join(ends, ["band", "centre"]).join(seen.where(F.col("j") >= threshold), (F.col("key") == F.col("a")) & (F.col("centre") == F.col("b")))
+        close = named(close.select("band", "centre", "key").union(ends.select("band", "centre", F.col("centre").alias("key"))), "key", "root")
+        cells = cells.union(close.select(home, F.lit(0), "key", "root"))
+    cells = keep(cells, "cells")
+    out = found
+    if not cells.isEmpty():
+        more = keep(compared(cells, items, elems, threshold, cell, lead), "more")
+        if not more.isEmpty():
+            out = components(links_found.union(more), f"{name}-all")
+    drop_scratch(*(t for t in scratch if t is not out))
+    return out

@@ -13,8 +13,9 @@ exact multiset overlap of the shingles decides them; classes are the components
 
 Words are runs without ASCII white space, A-Z lower-cased.  Defined cases: texts of fewer than five
 words are one shingle; null, empty and blank texts are equal to each other and to nothing else;
-null doc_id never leads a class unless no member has an id; repeated rows fall in one class; extra
-columns are ignored (kept by the stage); an empty table gives no rows.
+null doc_id never leads a class unless no member has an id; an id on several texts is several
+documents; repeated rows fall in one class; a text of any length is hashed whole; extra columns are ignored (kept
+by the stage, whatever their names); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cluster import components, stars, verified
-from .util import U64, Words, mix64, multiset, occurrences, slices, table, unit, write_scratch
+from . import cluster
+from .cluster import CELL
+from .util import U64, Words, drop_scratch, mix64, multiset, occurrences, slices, table, unit, write_scratch
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -121,37 +123,42 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(key)
             size.append(seen[key][0])
             bands.append(seen[key][1])
-        yield pa.record_batch({"doc_id": part.column(0), "key": pa.array(keys, pa.int64()), "size": pa.array(size, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))})
+        yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), "key": pa.array(keys, pa.int64()), "size": pa.array(size, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))})
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in slices(batches):
         s = Shingles(texts)
         keys = [s.content(i) for i in range(len(texts))]
-        elems = [np.unique((occurrences(s.of(i)) >> U64(32)).astype(np.uint32)).tobytes() for i in range(len(texts))]
-        yield pa.record_batch({"lead": part.column(0), "key": pa.array(keys, pa.int64()), "elems": pa.array(elems, pa.binary())})
-
-
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs(doc_id, text)`` to one row a document: doc_id, key (of its text), class_id, class_size, n_shingles."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = write_scratch(source.mapInArrow(_signatures, "doc_id long, key long, size long, bands array<long>"), "sig")
-    # one row per distinct text; the document that stands for it is the one whose elements are used
-    items = sig.groupBy("key").agg(F.min("doc_id").alias("lead"), F.min_by("bands", "size").alias("bands"), F.min("size").alias("size"))
-    edges = stars(items.select("key", F.explode("bands").alias("band")))
-    near = components(edges, "collide").join(items.select("key", "lead", "size"), "key")
-    near = write_scratch(near, "near")
-    total = near.agg(F.sum("size")).first()[0] or 0
+        elems = [occurrences(s.of(i)).tobytes() for i in range(len(texts))]
+        yield pa.record_batch({"lead": part.column(2), "key": pa.array(keys, pa.int64()), "elems": pa.array(elems, pa.binary())})
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, cell: int = CELL) -> DataFrame:
+    """``docs(doc_id, text)`` to one row a document: doc_id, text_key (xxhash64 of the text), class_id, class_text, class_size, n_shingles.
+
+    The class is led by its smallest doc_id (null last), among equal ids by the smallest text_key (``class_text``).
+    """
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+    sig = write_scratch(source.mapInArrow(_signatures, "doc_id long, text_key long, key long, size long, bands array<long>"), "sig")
+    # one row per distinct word sequence; of the texts that have it, one gives the elements
+    items = sig.groupBy("key").agg(F.min("text_key").alias("lead"), F.min_by("bands", "size").alias("bands"), F.min("size").alias("size"))
+    items = write_scratch(items, "items")
     elems = source.mapInArrow(_elements, "lead long, key long, elems binary")
-    same = components(verified(near.select("key", "lead", "root", "size"), elems, threshold, total, lead="lead"), "same")
-    member = sig.select("doc_id", "key", "size").join(same, "key", "left").withColumn("class", F.coalesce("root", "key"))
-    member = member.select("doc_id", "key", "size", "class")
+    same = cluster.classes(items.select("key", F.explode("bands").alias("band")), items.select("key", "size", "lead"), elems, threshold, "near", cell, lead="lead")
+    member = sig.select("doc_id", "text_key", "key", "size").join(same, "key", "left").withColumn("class", F.coalesce("root", "key"))
     # a table of its own, so that the join below can split the rows of a large class
-    head = member.groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    head = write_scratch(head, "heads")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    head = write_scratch(member.groupBy("class").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
     out = member.join(head, "class", "left")
-    first = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first"))
-    return out.select("doc_id", "key", first.alias("class_id"), F.coalesce("n", F.lit(1)).alias("class_size"), F.col("size").alias("n_shingles"))
+    led = F.col("n").isNotNull()
+    out = out.select(
+        "doc_id", "text_key", F.when(led, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(led, F.col("first.text_key")).otherwise(F.col("text_key")).alias("class_text"), F.coalesce("n", F.lit(1)).alias("class_size"), F.col("size").alias("n_shingles"),
+    )
+    out = write_scratch(out, "classes")
+    drop_scratch(sig, items, same, head)
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,12 +166,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class the row with the smallest doc_id stays, once."""
+    """Pipeline stage: of each class the row with the smallest doc_id stays, once.  Columns of any name are kept.
+
+    Of rows that repeat id and text, one stays; if other columns tell them apart, the one with the largest hash of all columns.
+    """
     cols = docs.columns
-    found = write_scratch(classes(docs), "classes")
-    lead = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = lead.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count(F.lit(1)).alias("copies"), F.countDistinct("class_id", "key").alias("texts"))
-    out = docs.join(kept, docs.doc_id.cast("long").eqNullSafe(kept.kept_id))
-    once = out.where("copies = 1").select(*[out[c] for c in cols])
-    again = out.where("copies > 1").select(*[out[c] for c in cols]).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again)
+    lead = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("class_text")))
+    kept = lead.groupBy(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_text")).agg(F.count(F.lit(1)).alias("__copies"))
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["__kept_id"]) & (F.xxhash64(docs["text"]) == kept["__kept_text"])
+    out = docs.join(kept, same)
+    once = out.where(kept["__copies"] == 1).select(*[docs[c] for c in cols])
+    row = F.struct(*[docs[c] for c in cols])
+    again = out.where(kept["__copies"] > 1).groupBy("__kept_id", "__kept_text").agg(F.max_by(row, F.xxhash64(*[docs[c] for c in cols])).alias("__row"))
+    return once.unionByName(again.select(*[F.col("__row")[c].alias(c) for c in cols]))

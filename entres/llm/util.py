@@ -7,8 +7,12 @@ operations per byte and no Python call per word.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
+import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,28 +35,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local default only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local folder only where it is unset and driver and executors are one process."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (root or "/tmp/entres-scratch").rstrip("/")
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = f"{tempfile.gettempdir()}/entres-scratch"
+    return root.rstrip("/")
+
+
+_LEFT: dict[str, Callable[[], object]] = {}
 
 
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage is cut and a lost executor costs nothing."""
+    """Write a table to the shared folder and read it back: lineage is cut and a lost executor costs nothing.
+
+    What :func:`drop_scratch` has not deleted goes when the driver exits.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/entres-{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    _LEFT[path] = lambda: fs.delete(p, True)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._entres_path = path
     return out
 
 
-def drop_scratch(df: DataFrame) -> None:
-    """Delete a table made by :func:`write_scratch` (only when no lazy plan still reads it)."""
-    path = getattr(df, "_entres_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`write_scratch` (only when no lazy plan still reads them)."""
+    for df in tables:
+        delete = _LEFT.pop(getattr(df, "_entres_path", None), None)
+        if delete:
+            delete()
+
+
+@atexit.register
+def _drop_left() -> None:
+    for delete in _LEFT.values():
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            delete()
 
 
 def crc_mod(col, n: int):
@@ -157,6 +180,11 @@ def shingle_hash(words: np.ndarray, k: int = 5) -> np.ndarray:
     return out
 
 
+def one_text(docs: DataFrame, *more: str) -> DataFrame:
+    """One row an id of ``docs(doc_id, text, ...)``: of an id with several texts the least, whatever the order of rows."""
+    return docs.groupBy("doc_id").agg(F.min("text").alias("text"), *[F.min(c).alias(c) for c in more])
+
+
 def multiset(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and their counts."""
     return np.unique(keys, return_counts=True)
