@@ -116,38 +116,23 @@ def _judge(t: pa.Table) -> pa.Table:
     return pa.table({"a": key[ok], "b": star[ok], "j": j[ok]})
 
 
-def _sized(df: DataFrame, col: str, items: DataFrame | int, pick: list[str]) -> DataFrame:
-    """``df`` with the size (and lead) of the item named by ``col``; one number is the size of all."""
-    if isinstance(items, int):
-        return df.withColumn("size", F.lit(items))
-    return df.join(items.select(F.col("key").alias(col), "size", *pick), col)
-
-
-def judged(edges: DataFrame, items: DataFrame | int, elems: DataFrame, name: str, cell: int, lead: str | None = None) -> DataFrame:
+def judged(edges: DataFrame, elems: DataFrame, name: str, cell: int) -> DataFrame:
     """``edges(a, b)`` with the exact similarity ``j``; b is the centre of a star of a's.
 
-    ``items`` has the numbers of elements.  Small stars share a task up to ``cell`` elements, a
-    larger one is dealt to several, each with a copy of its centre.  Where many rows of ``elems`` can hold one key,
-    ``lead`` names a column of both sides that picks the row to use.
+    Small stars share a task up to ``cell`` elements, a larger one is dealt to several, each with a copy of its centre.
     """
-    pick = [lead] if lead else []
-    sized = _sized(edges, "a", items, pick)
+    sized = edges.join(elems.select(F.col("key").alias("a"), "size"), "a")
     total = sized.agg(F.sum("size")).first()[0] or 0
     bins = max(1, -(-2 * total // cell))
     # only stars that need splitting, as a table of its own: the join can then split the rows of a large one
     large = write_scratch(sized.groupBy("b").agg(F.ceil(F.sum("size") / F.lit(cell)).cast("int").alias("parts")).where("parts > 1"), f"{name}-large")
-    placed = sized.join(large, "b", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    home = lambda star: F.when(F.col("parts") > 1, star).otherwise(F.pmod(F.xxhash64(star), F.lit(bins)))
-    members = placed.select(F.col("a").alias("k"), F.col("b").alias("star"), home(F.col("b")).alias("home"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), *pick)
-    centres = _sized(edges.select("b").distinct(), "b", items, pick).join(large, "b", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    centres = centres.select(F.col("b").alias("k"), F.col("b").alias("star"), home(F.col("b")).alias("home"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *pick)
-    wanted = members.unionByName(centres)
-    if lead:
-        wanted = wanted.withColumnRenamed(lead, "chosen")
-    same = elems.key == wanted.k
-    if lead:
-        same = same & elems[lead].eqNullSafe(wanted.chosen)
-    met = elems.join(wanted.hint("merge"), same).select("home", "part", "star", "key", "elems")
+    parts = F.coalesce("parts", F.lit(1)).alias("parts")
+    home = F.when(F.col("parts") > 1, F.col("star")).otherwise(F.pmod(F.xxhash64("star"), F.lit(bins))).alias("home")
+    members = edges.join(large, "b", "left").select("a", F.col("b").alias("star"), parts)
+    members = members.select(F.col("a").alias("key"), "star", home, F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    centres = edges.select("b").distinct().join(large, "b", "left").select(F.col("b").alias("star"), parts)
+    centres = centres.select(F.col("star").alias("key"), "star", home, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = elems.join(members.union(centres).hint("merge"), "key").select("home", "part", "star", "key", "elems")
     out = write_scratch(met.groupBy("home", "part").applyInArrow(_judge, "a long, b long, j double"), f"{name}-judged")
     drop_scratch(large)
     return out
@@ -216,17 +201,16 @@ def _compare(threshold: float):
     return run
 
 
-def compared(cells: DataFrame, items: DataFrame | int, elems: DataFrame, threshold: float, cell: int, lead: str | None = None) -> DataFrame:
+def compared(cells: DataFrame, elems: DataFrame, threshold: float, cell: int) -> DataFrame:
     """Links between the items of each home of ``cells(home, side, key, root)`` whose roots differ.
 
     Side 0 meets side 1, and side 2 meets itself.  A side larger than ``cell`` is dealt into blocks, and each pair of
     blocks that have to meet is a task.
     """
-    pick = [lead] if lead else []
-    sized = _sized(cells.distinct(), "key", items, pick)
+    sized = cells.distinct().join(elems.select("key", "size"), "key")
     n = sized.groupBy("home").pivot("side", [0, 1, 2]).agg(F.ceil(F.sum("size") / F.lit(cell)))
     n = n.select("home", *[F.coalesce(F.col(str(s)), F.lit(1)).cast("int").alias(f"n{s}") for s in (0, 1, 2)])
-    placed = sized.join(write_scratch(n, "blocks"), "home")
+    placed = sized.join(n, "home")
     block = lambda count: F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
     every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
     mine = F.when(F.col("side") == 0, block("n0")).when(F.col("side") == 1, block("n1")).otherwise(block("n2"))
@@ -236,26 +220,27 @@ def compared(cells: DataFrame, items: DataFrame | int, elems: DataFrame, thresho
     j = F.when(F.col("side") == 0, F.col("other")).when(F.col("side") == 1, F.col("mine")).otherwise(F.greatest("mine", "other"))
     # blocks of side 2 that meet another block are two sides; a block that meets itself is one
     side = F.when(F.col("side") < 2, F.col("side")).when(F.col("mine") == F.col("other"), 0).otherwise(F.col("mine"))
-    wanted = placed.select("home", (F.col("side") == 2).alias("own"), i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", F.col("key").alias("k"), *[F.col(c).alias("chosen") for c in pick])
-    same = elems.key == wanted.k
-    if lead:
-        same = same & elems[lead].eqNullSafe(wanted.chosen)
-    met = elems.join(wanted.hint("merge"), same).select("home", "own", "i", "j", "side", "root", "key", "elems")
+    wanted = placed.select("home", (F.col("side") == 2).alias("own"), i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", "key")
+    met = elems.join(wanted.hint("merge"), "key").select("home", "own", "i", "j", "side", "root", "key", "elems")
     return met.groupBy("home", "own", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
 
 
-def classes(bands: DataFrame, items: DataFrame | int, elems: DataFrame, threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, lead: str | None = None) -> DataFrame:
+def classes(bands: DataFrame, elems: DataFrame, threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None) -> DataFrame:
     """(key, root) of the components of all pairs that share a band and have at least ``threshold`` similarity.
 
-    ``bands(key, band)``, ``items(key, size)`` or the size of all, ``elems(key, elems)`` with the elements as bytes of
-    64-bit hashes; items without a link are absent.
+    ``bands(key, band)``, ``elems(key, elems)`` with the elements as bytes of 64-bit hashes; items without a link are absent.
+    Where rows of ``elems`` with one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
     """
     scratch, links_found, open_ends = [], None, []
     keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
     members = keep(groups(bands), "members")
+    # the elements of the items that share a band at all, once
+    wanted = members.select("key").distinct()
+    own = elems.join(wanted.join(leads, "key"), ["key", "lead"]) if leads else elems.join(wanted, "key")
+    elems = keep(own.groupBy("key").agg(F.min("elems").alias("elems")).withColumn("size", F.floor(F.octet_length("elems") / 8)), "elements")
     for _ in range(rounds):
         edges = members.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
-        seen = judged(edges, items, elems, name, cell, lead)
+        seen = judged(edges, elems, name, cell)
         scratch.append(seen)
         near = seen.where(F.col("j") >= threshold).select("a", "b")
         links_found = near if links_found is None else links_found.union(near)
@@ -286,7 +271,7 @@ def classes(bands: DataFrame, items: DataFrame | int, elems: DataFrame, threshol
     cells = keep(cells, "cells")
     out = found
     if not cells.isEmpty():
-        more = keep(compared(cells, items, elems, threshold, cell, lead), "more")
+        more = keep(compared(cells, elems, threshold, cell), "more")
         if not more.isEmpty():
             out = components(links_found.union(more), f"{name}-all")
     drop_scratch(*(t for t in scratch if t is not out))
