@@ -16,8 +16,11 @@ The components of all links found are those of all similar pairs that share a ba
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,9 @@ from .util import U64, drop_scratch, mix64, write_scratch
 #: Elements that one verification task takes from each side.
 CELL = 1_500_000
 #: Rounds of stars before what is left of a band's items is compared in cells.
-ROUNDS = 3
+ROUNDS = 2
+#: Pairs of postings that a task holds at once.
+PAIRS = 4_000_000
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -190,12 +195,60 @@ def links(flat: np.ndarray, edge: np.ndarray, side: np.ndarray, root: np.ndarray
     return out
 
 
+def links_within(flat: np.ndarray, edge: np.ndarray, home: np.ndarray, side: np.ndarray, root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """As :func:`links` for many homes at once; pairs of one home only.  A home whose postings make more than ``PAIRS`` pairs goes to :func:`links`."""
+    size = np.diff(edge)
+    row = np.repeat(np.arange(len(home)), size)
+    order = np.lexsort((row, flat, home[row]))
+    row, value, at = row[order], flat[order], home[row[order]]
+    new = np.ones(len(row), bool)
+    new[1:] = (at[1:] != at[:-1]) | (value[1:] != value[:-1])
+    begin = np.flatnonzero(new)
+    back = np.arange(len(row)) - np.repeat(begin, np.diff(np.append(begin, len(row))))  # earlier postings of the element
+    heads = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else np.zeros(0, np.int64)
+    cost = np.add.reduceat(back, heads) if len(heads) else heads
+    bound = np.append(heads, len(row))
+    parent: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    out, lo = [], 0
+    while lo < len(heads):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(cost[lo:]), PAIRS, side="right")))
+        if cost[lo] > PAIRS:
+            rows = np.flatnonzero(home == at[heads[lo]])
+            some = np.concatenate([flat[edge[i] : edge[i + 1]] for i in rows])
+            cut = np.concatenate(([0], np.cumsum(size[rows])))
+            out += [(int(rows[i]), int(rows[j])) for i, j in links(some, cut, side[rows], root[rows], threshold)]
+            lo += 1
+            continue
+        part = slice(bound[lo], bound[hi])
+        lo = hi
+        c = back[part]
+        j = np.repeat(row[part], c)
+        i = row[np.repeat(np.arange(part.start, part.stop) - c - (np.cumsum(c) - c), c) + np.arange(c.sum())]
+        open_ = root[i] != root[j]
+        open_ &= (side[i] != side[j]) | (side[i] == 2)
+        code, over = np.unique(i[open_].astype(np.int64) << 32 | j[open_], return_counts=True)
+        i, j = code >> 32, code & 0xFFFFFFFF
+        ok = over >= threshold * (size[i] + size[j] - over) - 1e-9
+        for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+            a, b = find(x), find(y)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((x, y))
+    return out
+
+
 def _compare(threshold: float):
     def run(t: pa.Table) -> pa.Table:
-        t = _distinct(t, "key", "side")
-        key, side, root = (t.column(c).to_numpy() for c in ("key", "side", "root"))
+        t = _distinct(t, "key", "side", "home")
+        key, side, root, home = (t.column(c).to_numpy() for c in ("key", "side", "root", "home"))
         flat, edge = _sets(t.column("elems").to_pylist())
-        pairs = links(flat, edge, side, root, threshold)
+        pairs = links_within(flat, edge, home, side, root, threshold)
         return pa.table({"a": pa.array([int(key[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(key[j]) for _, j in pairs], pa.int64())})
 
     return run
@@ -204,13 +257,15 @@ def _compare(threshold: float):
 def compared(cells: DataFrame, elems: DataFrame, threshold: float, cell: int) -> DataFrame:
     """Links between the items of each home of ``cells(home, side, key, root)`` whose roots differ.
 
-    Side 0 meets side 1, and side 2 meets itself.  A side larger than ``cell`` is dealt into blocks, and each pair of
-    blocks that have to meet is a task.
+    Side 0 meets side 1, and side 2 meets itself.  Small homes share a task.  A side larger than ``cell`` is dealt into
+    blocks, and each pair of blocks that have to meet is a task.
     """
     sized = cells.distinct().join(elems.select("key", "size"), "key")
     n = sized.groupBy("home").pivot("side", [0, 1, 2]).agg(F.ceil(F.sum("size") / F.lit(cell)))
-    n = n.select("home", *[F.coalesce(F.col(str(s)), F.lit(1)).cast("int").alias(f"n{s}") for s in (0, 1, 2)])
-    placed = sized.join(n, "home")
+    n = n.select("home", *[F.coalesce(F.col(str(s)), F.lit(1)).cast("int").alias(f"n{s}") for s in (0, 1, 2)]).where("n0 + n1 + n2 > 3")
+    bins = max(1, -(-2 * (sized.agg(F.sum("size")).first()[0] or 0) // cell))
+    one = [F.coalesce(f"n{s}", F.lit(1)).alias(f"n{s}") for s in (0, 1, 2)]
+    placed = sized.join(write_scratch(n, "blocks"), "home", "left").select("home", "side", "key", "root", F.col("n0").isNull().alias("small"), *one)
     block = lambda count: F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
     every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
     mine = F.when(F.col("side") == 0, block("n0")).when(F.col("side") == 1, block("n1")).otherwise(block("n2"))
@@ -219,23 +274,44 @@ def compared(cells: DataFrame, elems: DataFrame, threshold: float, cell: int) ->
     i = F.when(F.col("side") == 0, F.col("mine")).when(F.col("side") == 1, F.col("other")).otherwise(F.least("mine", "other"))
     j = F.when(F.col("side") == 0, F.col("other")).when(F.col("side") == 1, F.col("mine")).otherwise(F.greatest("mine", "other"))
     # blocks of side 2 that meet another block are two sides; a block that meets itself is one
-    side = F.when(F.col("side") < 2, F.col("side")).when(F.col("mine") == F.col("other"), 0).otherwise(F.col("mine"))
-    wanted = placed.select("home", (F.col("side") == 2).alias("own"), i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", "key")
-    met = elems.join(wanted.hint("merge"), "key").select("home", "own", "i", "j", "side", "root", "key", "elems")
-    return met.groupBy("home", "own", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
+    side = F.when((F.col("side") < 2) | (F.col("mine") == F.col("other")), F.col("side")).otherwise(F.col("mine") + 3)
+    task = F.when(F.col("small"), F.pmod(F.xxhash64("home"), F.lit(bins))).otherwise(F.col("home")).alias("task")
+    wanted = placed.select(task, "home", "small", i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", "key")
+    met = elems.join(wanted.hint("merge"), "key").select("task", "home", "small", "i", "j", "side", "root", "key", "elems")
+    return met.groupBy("task", "small", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
+
+
+class Sieve:
+    """A bit for each value of the leading bits of a key: sifts out most items that no band shares, at a fixed size."""
+
+    BITS = 26
+
+    def __init__(self, keys: DataFrame):
+        at = F.shiftrightunsigned("key", 64 - self.BITS)
+        words = keys.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - self.BITS}) & 63 as int))").alias("bit"))
+        rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # 2 ** BITS / 64 rows at most
+        bits = np.zeros(1 << (self.BITS - 6), np.int64)
+        bits[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+        self.bits = bits.view(U64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = keys.view(U64) >> U64(64 - self.BITS)
+        return (self.bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
 
 
-def classes(bands: DataFrame, elems: DataFrame, threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None) -> DataFrame:
+def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None) -> DataFrame:
     """(key, root) of the components of all pairs that share a band and have at least ``threshold`` similarity.
 
-    ``bands(key, band)``, ``elems(key, elems)`` with the elements as bytes of 64-bit hashes; items without a link are absent.
-    Where rows of ``elems`` with one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
+    ``bands(key, band)``; ``elements`` makes rows (key, elems), with the elements as bytes of 64-bit hashes, at least of the
+    keys that a broadcast :class:`Sieve` has; items without a link are absent.
+    Where rows of one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
     """
     scratch, links_found, open_ends = [], None, []
     keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
     members = keep(groups(bands), "members")
     # the elements of the items that share a band at all, once
     wanted = members.select("key").distinct()
+    elems = elements(bands.sparkSession.sparkContext.broadcast(Sieve(wanted)))
     own = elems.join(wanted.join(leads, "key"), ["key", "lead"]) if leads else elems.join(wanted, "key")
     elems = keep(own.groupBy("key").agg(F.min("elems").alias("elems")).withColumn("size", F.floor(F.octet_length("elems") / 8)), "elements")
     for _ in range(rounds):

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,12 +127,16 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), "key": pa.array(keys, pa.int64()), "size": pa.array(size, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))})
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in slices(batches):
-        s = Shingles(texts)
-        keys = [s.content(i) for i in range(len(texts))]
-        elems = [occurrences(s.of(i)).tobytes() for i in range(len(texts))]
-        yield pa.record_batch({"lead": part.column(2), "key": pa.array(keys, pa.int64()), "elems": pa.array(elems, pa.binary())})
+def _elements(sieve: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            s = Shingles(texts)
+            keys = np.array([s.content(i) for i in range(len(texts))], np.int64)
+            at = np.flatnonzero(sieve.value.has(keys))
+            elems = [occurrences(s.of(i)).tobytes() for i in at]
+            yield pa.record_batch({"lead": part.column(2).take(pa.array(at)), "key": pa.array(keys[at]), "elems": pa.array(elems, pa.binary())})
+
+    return run
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, cell: int = CELL) -> DataFrame:
@@ -144,7 +149,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, cell: int = CELL) ->
     # one row per distinct word sequence; of the texts that have it, one gives the elements
     items = sig.groupBy("key").agg(F.min("text_key").alias("lead"), F.min_by("bands", "size").alias("bands"), F.min("size").alias("size"))
     items = write_scratch(items, "items")
-    elems = source.mapInArrow(_elements, "lead long, key long, elems binary")
+    elems = lambda sieve: source.mapInArrow(_elements(sieve), "lead long, key long, elems binary")
     same = cluster.classes(items.select("key", F.explode("bands").alias("band")), elems, threshold, "near", cell, leads=items.select("key", "lead"))
     member = sig.select("doc_id", "text_key", "key", "size").join(same, "key", "left").withColumn("class", F.coalesce("root", "key"))
     # a table of its own, so that the join below can split the rows of a large class
