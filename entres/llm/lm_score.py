@@ -6,35 +6,49 @@ weight log10(kappa / (c(h) + kappa)); P is Dirichlet-smoothed,
 
     P(w|h) = (c(hw) + kappa * P(w|h')) / (c(h) + kappa),      P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)),
 
-so a word without an arc costs exactly the failure weight plus its weight in the shorter state.
+so a word without an arc costs exactly the failure weight plus its weight in the shorter state.  A text
+is scored by one traversal from left to right that carries the state: it takes the arc of the word, or failure arcs until
+a state has one, and goes to the longest known suffix.  ``kappa`` of each order is the one of ``GRID`` under which the training
+tokens are likeliest when each is left out of the counts it is scored with.
 
 Scale.  No table of n-grams is ever collected or broadcast.  Texts are dealt into blocks of about
 ``block_bytes``; a block sends the sorted hashes and training counts of its own distinct n-grams to
 hash-range shards (so each n-gram is pre-aggregated per block and a hot word adds one entry per
 block), the shards add up the counts and return the totals in the order they were sent, and each
-block builds the part of the automaton that its texts can reach and walks it.  Shuffled bytes grow
-with the number of distinct n-grams per block; a task holds one block or one shard.
+block builds the part of the automaton that its texts can reach and walks it.  A block sends a shard one row, and only if it has
+an n-gram for it, so rows never exceed distinct n-grams and blocks, however large the input; a row packs all n-grams of its
+block and shard, about five bytes each.  Hashes are cut to ``hash_bits``, 20 bits beyond the number of tokens, so that an n-gram
+meets another's count with a probability under one in a million.  A task holds one block or one shard.  Rows that repeat id and text are
+folded into one with a number before they are dealt, so copies of one row do not pile up in one block.
 
 Defined cases: null or empty text is the lone end token; null doc_id hashes as the empty text;
-repeated rows are counted and returned each time; extra columns are ignored; an empty table gives
+repeated rows are counted and returned each time; a text of any length is scored whole, in pieces that begin in the state
+that the words before them lead to; extra columns are ignored; an empty table gives
 no rows.  With no training text N = V = 0 and the base probability is 0.1 / 0.1 = 1.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import U64, Words, crc_mod, mix64, table
+from .util import U64, Words, crc_mod, mix64, slices, table, write_scratch
 
 END = 0x0E0D5EED0E0D5EED
 START = 0x57A7757A7757A775
-ORDER = 2
-KAPPA = 400.0
+ORDER = 3
+#: Values of kappa that are tried for bigrams, and for longer n-grams.
+GRID = ((50.0, 200.0, 800.0), (1.0, 4.0, 16.0))
 BLOCK_BYTES = 8 << 20
 SMOOTH = 0.1
+#: Longest piece of a text that is walked at once; longer texts are walked in several pieces side by side.
+PIECE = 192
 
 
 def pack(counts: np.ndarray) -> bytes:
@@ -52,7 +66,7 @@ def unpack(data: bytes, n: int) -> np.ndarray:
 class Grams:
     """Tokens of a block and its distinct n-grams, level by level, each with an index into its own level."""
 
-    def __init__(self, texts: list[bytes], order: int):
+    def __init__(self, texts: list[bytes], order: int, bits: int = 64):
         w = Words(texts)
         n = len(texts)
         self.n_tokens = w.count + 1
@@ -73,9 +87,9 @@ class Grams:
             before[place == 0] = self.start_hash(k - 1)
             at[k] = mix64(before * U64(0x9E3779B97F4A7C15) + tok + U64(k))
         self.place = place
-        self.keys, self.inverse = {}, {}
+        self.keys, self.first, self.inverse = {}, {}, {}
         for k in at:
-            self.keys[k], self.inverse[k] = np.unique(at[k], return_inverse=True)
+            self.keys[k], self.first[k], self.inverse[k] = np.unique(at[k] >> U64(64 - bits), return_index=True, return_inverse=True)
 
     @staticmethod
     def start_hash(k: int) -> np.uint64:
@@ -84,46 +98,78 @@ class Grams:
             h = mix64(h * U64(0x9E3779B97F4A7C15) + U64(START) + U64(j))
         return h[0]
 
-    def counts(self, k: int, docs: np.ndarray) -> np.ndarray:
-        """Occurrences of each distinct k-gram in the marked documents."""
-        return np.bincount(self.inverse[k][docs[self.doc]], minlength=len(self.keys[k]))
+    def counts(self, k: int, times: np.ndarray) -> np.ndarray:
+        """Occurrences of each distinct k-gram, those of a document taken the given number of times."""
+        return np.bincount(self.inverse[k], weights=times[self.doc], minlength=len(self.keys[k])).astype(np.int64)
 
 
-def cuts(keys: np.ndarray, shards: int) -> np.ndarray:
+def cuts(keys: np.ndarray, shards: int, bits: int = 64) -> np.ndarray:
     """Where the hash-range shards begin and end in sorted keys."""
-    edges = np.array([(i << 64) // shards for i in range(shards)], dtype=U64)
+    edges = np.array([(i << bits) // shards for i in range(shards)], dtype=U64)
     return np.append(np.searchsorted(keys, edges), len(keys))
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys: their low four bytes each, after the number of keys of each value of the rest."""
+    high = (keys >> U64(32)).astype(np.int64)
+    if not len(keys):
+        return b""
+    lo, n = int(high[0]), int(high[-1] - high[0]) + 1
+    if n > 8 * len(keys):
+        return b"\x01" + keys.astype("<u8").tobytes()
+    head = pack(np.bincount(high - lo, minlength=n))
+    return b"\x00" + np.array([lo, n, len(head)], "<i8").tobytes() + head + (keys & U64(0xFFFFFFFF)).astype("<u4").tobytes()
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, U64)
+    if data[0] == 1:
+        return np.frombuffer(data, "<u8", offset=1).astype(U64)
+    lo, n, size = np.frombuffer(data, "<i8", 3, offset=1).tolist()
+    high = np.repeat(np.arange(lo, lo + n, dtype=U64), unpack(data[25 : 25 + size], n))
+    return high << U64(32) | np.frombuffer(data, "<u4", offset=25 + size).astype(U64)
+
+
 def _texts(t: pa.Table) -> list[bytes]:
     return [b if b is not None else b"" for b in t.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _count(shards: int, order: int):
+_SENT = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("texts", pa.int64()), ("keys", pa.list_(pa.binary())), ("counts", pa.list_(pa.binary()))])
+_BACK = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("totals", pa.list_(pa.binary())), ("tokens", pa.int64()), ("words", pa.int64()), ("texts", pa.int64())])
+
+
+def _times(t: pa.Table) -> np.ndarray:
+    """How often each row counts in training."""
+    return np.where(np.asarray(t.column("held_out")), 0, t.column("copies").to_numpy())
+
+
+def _count(shards: int, order: int, bits: int):
     def run(t: pa.Table) -> pa.Table:
-        g = Grams(_texts(t), order)
-        train = ~np.asarray(t.column("held_out"))
-        cols: dict[str, list] = {"shard": list(range(shards)), "block": [t.column("block")[0].as_py()] * shards, "texts": [int(train.sum())] + [0] * (shards - 1), "keys": [[] for _ in range(shards)], "counts": [[] for _ in range(shards)]}
-        for k in range(1, order + 1):
-            c, edge = g.counts(k, train), cuts(g.keys[k], shards)
-            for s in range(shards):
-                cols["keys"][s].append(g.keys[k][edge[s] : edge[s + 1]].tobytes())
-                cols["counts"][s].append(pack(c[edge[s] : edge[s + 1]]))
-        return pa.table(cols, schema=pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("texts", pa.int64()), ("keys", pa.list_(pa.binary())), ("counts", pa.list_(pa.binary()))]))
+        g = Grams(_texts(t), order, bits)
+        times, block = _times(t), t.column("block")[0].as_py()
+        edge = {k: cuts(g.keys[k], shards, bits) for k in g.keys}
+        count = {k: g.counts(k, times) for k in g.keys}
+        some = [s for s in range(shards) if s == 0 or any(e[s] < e[s + 1] for e in edge.values())]
+        rows = {"shard": some, "block": [block] * len(some), "texts": [int(times.sum()) if s == 0 else 0 for s in some]}
+        rows["keys"] = [[pack_keys(g.keys[k][edge[k][s] : edge[k][s + 1]]) for k in edge] for s in some]
+        rows["counts"] = [[pack(count[k][edge[k][s] : edge[k][s + 1]]) for k in edge] for s in some]
+        return pa.table(rows, schema=_SENT)
 
     return run
 
 
 def _merge(order: int):
     def run(t: pa.Table) -> pa.Table:
-        rows = t.to_pylist()
-        out = [[] for _ in rows]
+        t = t.combine_chunks()
+        out: list[list] = [[] for _ in range(t.num_rows)]
         tokens = words = 0
         for k in range(order):
-            keys = [np.frombuffer(r["keys"][k], U64) for r in rows]
+            keys = [unpack_keys(x[k].as_py()) for x in t.column("keys")]
             sizes = [len(x) for x in keys]
+            counts = np.concatenate([unpack(x[k].as_py(), n) for x, n in zip(t.column("counts"), sizes, strict=True)])
             _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            counts = np.concatenate([unpack(r["counts"][k], n) for r, n in zip(rows, sizes, strict=True)])
+            del keys
             total = np.bincount(inverse, weights=counts).astype(np.int64) if len(counts) else counts
             if k == 0:
                 tokens, words = int(total.sum()), int((total > 0).sum())
@@ -131,10 +177,8 @@ def _merge(order: int):
             for i, n in enumerate(sizes):
                 out[i].append(pack(total[inverse[at : at + n]]))
                 at += n
-        return pa.table(
-            {"block": [r["block"] for r in rows], "shard": [r["shard"] for r in rows], "totals": out, "tokens": [tokens] * len(rows), "words": [words] * len(rows), "texts": [sum(r["texts"] for r in rows)] * len(rows)},
-            schema=pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("totals", pa.list_(pa.binary())), ("tokens", pa.int64()), ("words", pa.int64()), ("texts", pa.int64())]),
-        )
+        n = t.num_rows
+        return pa.table({"block": t.column("block"), "shard": t.column("shard"), "totals": out, "tokens": [tokens] * n, "words": [words] * n, "texts": [sum(t.column("texts").to_pylist())] * n}, schema=_BACK)
 
     return run
 
@@ -142,78 +186,214 @@ def _merge(order: int):
 class Automaton:
     """The part of the backoff automaton that one block's texts can reach.
 
-    Level k holds the arcs of k-word n-grams: ``total[k]`` is their training count (0: no such arc).
-    The state before token i at level k is the (k-1)-gram that ends at i-1.
+    State 0 is the empty context; state 1 + base[k] + i is the i-th distinct k-word context of the block's n-grams, and
+    the last states are the runs of start marks.  Arcs are the block's n-grams with a training count; those of a state and word are
+    found by binary search in ``arc_key``.
     """
 
-    def __init__(self, grams: Grams, total: dict[int, np.ndarray], tokens: int, words: int, texts: int, kappa: float):
-        self.g, self.total, self.tokens, self.words, self.texts, self.kappa = grams, total, tokens, words, texts, kappa
-
-    def arcs(self, k: int) -> np.ndarray:
-        """Count of the level-k arc that each token would take."""
-        return self.total[k][self.g.inverse[k]]
-
-    def state(self, k: int) -> np.ndarray:
-        """Count of the level-k state that stands before each token; texts begin in the start state."""
-        out = np.empty(len(self.g.doc), np.int64)
-        out[1:] = self.arcs(k - 1)[:-1]
-        # contexts that reach over the start of a text: the start state occurs once a training text
-        reach = self.g.place == 0
-        out[reach] = self.texts
-        return out
-
-    def traverse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Walk all texts left to right, each from the start state.
+    def __init__(self, g: Grams, total: dict[int, np.ndarray], tokens: int, words: int, texts: int):
+        self.g, self.total, self.tokens, self.words = g, total, tokens, words
+        order, n = g.order, len(g.doc)
+        # states: the k-grams of the block, 0 < k < order, then the start contexts of each length
+        base, at = {}, 1
+        for k in range(1, order):
+            base[k], at = at, at + len(g.keys[k])
+        self.start = {k: at + k - 1 for k in range(1, order)}
+        states = at + order - 1
+        self.context = np.zeros(states, np.int64)  # c(h)
+        self.fail = np.zeros(states, np.int64)
+        self.depth = np.zeros(states, np.int64)
+        for k in range(1, order):
+            own = slice(base[k], base[k] + len(g.keys[k]))
+            self.context[own], self.depth[own] = total[k], k
+            self.fail[own] = base[k - 1] + g.inverse[k - 1][g.first[k]] if k > 1 else 0
+            self.context[self.start[k]], self.depth[self.start[k]] = texts, k
+            self.fail[self.start[k]] = self.start[k - 1] if k > 1 else 0
+        # the state of the last k tokens before a token
+        def before(k: int, i: np.ndarray) -> np.ndarray:
+            if k == 0:
+                return np.zeros(len(i), np.int64)
+            return np.where(g.place[i] > 0, base[k] + g.inverse[k][i - 1], self.start[k])
 
-        A token takes the arc of the longest state that has one and pays the failure weights above
-        it; the state after it is the longest known suffix.  All tokens take the step of one level
-        at a time.  Returns known-word counts, base scores and model scores per text.
+        # arcs, level by level: state, word, count, and the arc of the same word in the state's failure state
+        state, word, count, lower, level, target, offset = [], [], [], [], [], [], {}
+        size = 0
+        for k in range(1, order + 1):
+            i = g.first[k]
+            offset[k], size = size, size + len(i)
+            state.append(before(k - 1, i))
+            word.append(g.inverse[1][i])
+            count.append(total[k])
+            lower.append(offset[k - 1] + g.inverse[k - 1][i] if k > 1 else np.full(len(i), -1))
+            level.append(np.full(len(i), k))
+            target.append(base[min(k, order - 1)] + g.inverse[min(k, order - 1)][i] if order > 1 else np.zeros(len(i), np.int64))
+        self.state, self.word, self.count, self.lower, self.level, self.target = (np.concatenate(x) for x in (state, word, count, lower, level, target))
+        # only n-grams seen in training are arcs; at the root every word has one (a word never seen has the weight of count 0)
+        arc = np.flatnonzero((self.count > 0) | (self.level == 1))
+        key = self.state[arc] * np.int64(len(g.keys[1]) + 1) + self.word[arc]
+        turn = np.argsort(key, kind="stable")
+        self.arc_key, self.arc = key[turn], arc[turn]
+        # a state that was never seen in training is the state of its longest suffix that was
+        self.known = np.arange(states)
+        for k in range(1, order):
+            own = np.append(np.arange(base[k], base[k] + len(g.keys[k])), self.start[k])
+            unseen = own[self.context[own] == 0]
+            self.known[unseen] = self.known[self.fail[unseen]]
+
+    def traverse(self) -> tuple[np.ndarray, np.ndarray]:
+        """Walk all texts from left to right.  For each token the arc taken and the state in which the walk stood before it.
+
+        Pieces of up to ``PIECE`` tokens go side by side.  A piece inside a text begins order - 1 tokens early, by which
+        its state is that of the whole text, since a state is a suffix of order - 1 words.
         """
-        c = self.arcs(1)
-        root = np.log10((c + SMOOTH) / (self.tokens + SMOOTH * (self.words + 1)))
-        weight = root
-        for k in range(2, self.g.order + 1):
-            ctx, arc = self.state(k).astype(np.float64), self.arcs(k)
-            failure = np.log10(self.kappa / (ctx + self.kappa))
-            taken = np.log10((arc + self.kappa * 10.0**weight) / (ctx + self.kappa))
-            weight = np.where(ctx > 0, np.where(arc > 0, taken, failure + weight), weight)
-        n = len(self.g.n_tokens)
-        add = lambda x: np.bincount(self.g.doc, weights=x, minlength=n)
-        return add((c > 0).astype(float)).astype(np.int64), add(root), add(weight)
-
-
-def _score(shards: int, order: int, kappa: float):
+        g = self.g
+        n, early = len(g.doc), g.order - 1
+        begin = np.flatnonzero(g.place % PIECE == 0)
+        end = np.append(begin[1:], n)
+        whole = g.place[begin] == 0
+        at = np.where(whole, begin, begin - early)
+        now = np.where(whole, self.known[self.start[early]] if early else 0, 0)
+        word, width = g.inverse[1], np.int64(len(g.keys[1]) + 1)
+        taken, stood = np.empty(n, np.int64), np.empty(n, np.int64)
+        order = np.argsort(at - end, kind="stable")  # longest first, so that those at work are a prefix
+        at, end, begin, now = at[order], end[order], begin[order], now[order]
+        length = end - at
+        for t in range(int(length.max()) if len(length) else 0):
+            live = int(np.searchsorted(-length, -t, side="left"))
+            i = at[:live] + t
+            stood[i] = now[:live]
+            s, w = now[:live].copy(), word[i]
+            found = np.empty(live, np.int64)
+            todo = np.arange(live)
+            while len(todo):
+                key = s[todo] * width + w[todo]
+                p = np.minimum(np.searchsorted(self.arc_key, key), len(self.arc_key) - 1)
+                hit = self.arc_key[p] == key
+                found[todo[hit]] = self.arc[p[hit]]
+                todo = todo[~hit]
+                s[todo] = self.known[self.fail[s[todo]]]
+            taken[i] = found
+            now[:live] = self.known[self.target[found]]
+        return taken, stood
+
+    def weights(self, kappa: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of every arc, and of the failure arcs from every state down to the root."""
+        down = np.zeros(len(self.fail))
+        by_depth = np.concatenate(([0.0], kappa)) if kappa else np.zeros(1)
+        for k in range(1, self.g.order):
+            own = np.flatnonzero(self.depth == k)
+            x = by_depth[k]
+            step = np.where(self.context[own] > 0, np.log10(x / (self.context[own] + x)), 0.0)
+            down[own] = step + down[self.fail[own]]
+        weight = np.empty(len(self.state))
+        for k in range(1, self.g.order + 1):
+            own = np.flatnonzero(self.level == k)
+            if k == 1:
+                weight[own] = np.log10((self.count[own] + SMOOTH) / (self.tokens + SMOOTH * (self.words + 1)))
+                continue
+            x, c, h = by_depth[k - 1], self.count[own], self.context[self.state[own]]
+            low = weight[self.lower[own]]
+            some = np.where(h > 0, np.log10((c + x * 10.0**low) / (h + x)), low)
+            weight[own] = some
+        return weight, down
+
+    def left_out(self, times: np.ndarray, grid: list[tuple[float, ...]]) -> np.ndarray:
+        """Log10 probability of the training tokens, each left out of the counts it is scored with, for each kappa of the grid."""
+        g = self.g
+        use = times[g.doc] > 0
+        often = times[g.doc][use]
+        c = self.total[1][g.inverse[1][use]]
+        root = (np.maximum(c - 1, 0) + SMOOTH) / (max(self.tokens - 1, 0) + SMOOTH * (self.words + 1))
+        place = g.place[use]
+        levels = []
+        for k in range(2, g.order + 1):
+            h = np.empty(len(g.doc), np.int64)
+            h[1:] = self.total[k - 1][g.inverse[k - 1][:-1]]
+            h[g.place == 0] = self.context[self.start[k - 1]]
+            levels.append((self.total[k][g.inverse[k][use]] - 1, h[use] - 1))
+        out, memo = [], {(): root}
+        for kappa in grid:
+            for k in range(1, len(kappa) + 1):
+                if kappa[:k] not in memo:
+                    arc, h = levels[k - 1]
+                    memo[kappa[:k]] = np.where(h > 0, (np.maximum(arc, 0) + kappa[k - 1] * memo[kappa[: k - 1]]) / (np.maximum(h, 0) + kappa[k - 1]), memo[kappa[: k - 1]])
+            out.append(float((np.log10(memo[kappa]) * often).sum()))
+        del place
+        return np.array(out)
+
+
+def _grid(order: int) -> list[tuple[float, ...]]:
+    return list(itertools.product(*[GRID[k > 0] for k in range(order - 1)]))
+
+
+def _score(shards: int, order: int, bits: int, kappa: tuple[float, ...] | None):
     def run(docs: pa.Table, back: pa.Table) -> pa.Table:
-        g = Grams(_texts(docs), order)
-        rows = sorted(back.to_pylist(), key=lambda r: r["shard"])
-        total = {}
-        for k in range(1, order + 1):
-            edge = cuts(g.keys[k], shards)
-            total[k] = np.concatenate([unpack(r["totals"][k - 1], edge[s + 1] - edge[s]) for s, r in enumerate(rows)])
-        tokens, words = sum(r["tokens"] for r in rows), sum(r["words"] for r in rows)
-        known, base, score = Automaton(g, total, tokens, words, rows[0]["texts"] if rows else 0, kappa).traverse()
-        n = len(known)
-        return pa.table({"doc_id": docs.column("doc_id").combine_chunks(), "held_out": docs.column("held_out").combine_chunks(), "n_tokens": g.n_tokens, "n_known": known, "train_tokens": np.full(n, tokens), "base_score": base, "score": score})
+        g = Grams(_texts(docs), order, bits)
+        back = back.sort_by("shard")
+        edge = {k: cuts(g.keys[k], shards, bits) for k in g.keys}
+        total = {k: np.zeros(len(g.keys[k]), np.int64) for k in g.keys}
+        for s, x in zip(back.column("shard").to_pylist(), back.column("totals"), strict=True):
+            for k in g.keys:
+                total[k][edge[k][s] : edge[k][s + 1]] = unpack(x[k - 1].as_py(), edge[k][s + 1] - edge[k][s])
+        stats = back.slice(0, 1).to_pylist()[0]  # of shard 0: the sums over all shards are made outside
+        m = Automaton(g, total, stats["all_tokens"], stats["all_words"], stats["all_texts"])
+        taken, stood = m.traverse()
+        n = docs.num_rows
+        add = lambda x: np.bincount(g.doc, weights=x, minlength=n)
+        grid = [kappa] if kappa else _grid(order)
+        root = g.inverse[1]  # arcs of level 1 come first, in the order of the words
+        scores = []
+        for x in grid:
+            weight, down = m.weights(x)
+            if not scores:
+                base = add(weight[root])
+            scores.append(add(weight[taken] + down[stood] - down[m.state[taken]]))
+        return pa.table(
+            {
+                "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "copies": docs.column("copies"), "n_tokens": g.n_tokens, "n_known": add((total[1][g.inverse[1]] > 0).astype(float)).astype(np.int64),
+                "train_tokens": np.full(n, stats["all_tokens"]), "base_score": base, "scores": pa.array(list(np.stack(scores, axis=1)), pa.list_(pa.float64())),
+                "left_out": pa.array([m.left_out(_times(docs), grid).tolist(), *[None] * (n - 1)], pa.list_(pa.float64())),
+            },
+        )
 
     return run
 
 
-SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that repeat id and text become one with their number, within each piece of a batch."""
+    for part, _ in slices(batches, limit=4 << 20):
+        t = pa.table({"doc_id": part.column(0), "text": pc.fill_null(part.column(1), "")}).append_column("n", pa.array(np.ones(part.num_rows, np.int64)))
+        t = t.group_by(["doc_id", "text"], use_threads=False).aggregate([("n", "sum")]).select(["doc_id", "text", "n_sum"])
+        yield from t.rename_columns(["doc_id", "text", "copies"]).combine_chunks().to_batches()
+
+
+SCORED = "doc_id long, held_out boolean, copies long, n_tokens long, n_known long, train_tokens long, base_score double, scores array<double>, left_out array<double>"
 
 
-def score_texts(docs: DataFrame, held_out, order: int = ORDER, kappa: float = KAPPA, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Score every text of ``docs(doc_id, text)``; ``held_out`` is a boolean column, true for rows that are not learnt from."""
-    size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+def score_texts(docs: DataFrame, held_out: Callable[[str], Column], order: int = ORDER, kappa: tuple[float, ...] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Score every text of ``docs(doc_id, text)``; ``held_out("doc_id")`` is true for rows that are not learnt from.
+
+    ``kappa`` has a value for each order from 2 on; without it they are chosen from ``GRID``.
+    """
+    size, rows = docs.select(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = size or 0
     blocks = max(1, -(-size // block_bytes))
-    dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"),
-    )
-    sent = dealt.groupBy("block").applyInArrow(_count(blocks, order), "shard long, block long, texts long, keys array<binary>, counts array<binary>")
+    bits = min(64, max(40, (order * (size + rows)).bit_length() + 18))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fold, "doc_id long, text string, copies long")
+    dealt = source.withColumn("held_out", held_out("doc_id")).withColumn("block", F.pmod(F.xxhash64("doc_id", "text", "copies"), F.lit(blocks)))
+    sent = dealt.groupBy("block").applyInArrow(_count(blocks, order, bits), "shard long, block long, texts long, keys array<binary>, counts array<binary>")
     back = sent.groupBy("shard").applyInArrow(_merge(order), "block long, shard long, totals array<binary>, tokens long, words long, texts long")
-    return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(blocks, order, kappa), SCHEMA)
+    back = write_scratch(back, "totals")
+    sums = back.groupBy("shard").agg(F.max("tokens").alias("tokens"), F.max("words").alias("words"), F.max("texts").alias("texts")).agg(F.sum("tokens"), F.sum("words"), F.sum("texts")).first()
+    back = back.select("block", "shard", "totals", *[F.lit(x or 0).cast("long").alias(f"all_{n}") for n, x in zip(("tokens", "words", "texts"), sums, strict=True)])
+    scored = write_scratch(dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(blocks, order, bits, kappa), SCORED), "scores")
+    grid = [kappa] if kappa else _grid(order)
+    total = scored.where("left_out is not null").agg(*[F.sum(F.col("left_out")[i]).alias(f"g{i}") for i in range(len(grid))]).first()
+    best = max(range(len(grid)), key=lambda i: (total[i] if total[i] is not None else 0.0, -i))
+    again = scored.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return again.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", F.col("scores")[best].alias("score"), F.array(*[F.lit(float(x)) for x in grid[best]]).alias("kappa"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_texts(docs, crc_mod("doc_id", 10) == 0)
+    return score_texts(docs, lambda c: crc_mod(c, 10) == 0)

@@ -2,44 +2,46 @@
 
 The agenda of a unit (a run of spaces and the word after it) holds every adjacent pair of pieces
 whose join is a piece; the best-ranked, leftmost candidate is merged next.  A candidate is the span
-triple (left start, boundary, right end) of a unit; it is skipped for good when a hash keyed by the
-seed, the unit and the draw falls below ``dropout``.  No piece of the vocabulary crosses a space or a
+triple (left start, boundary, right end) of an occurrence; it is skipped for good when a hash keyed by
+(seed, doc_id, position of the unit, span) falls below ``dropout``.  So every occurrence of a word draws its own
+segmentation, which any run reproduces.  No piece of the vocabulary crosses a space or a
 line break (checked on load), so units are segmented on their own and the result is the same as one
-agenda over the whole text.  Each occurrence of a unit picks one of ``DRAWS`` keyed draws by
-hash of (seed, doc_id, position), so texts get varied segmentations that any run reproduces.
+agenda over the whole text.
 
-Units of a batch that are not in the bounded cache are segmented together in numpy, one merge per
-unit and step; ``agenda`` is the plain heap version, used for very long units and in tests.
+What does not depend on the draw is shared: ``Agendas`` holds, for each distinct unit, the states its agenda can come
+to, found as they are first needed.  A state knows its next candidate, the state after merging it and the
+state after skipping it.  All occurrences of a batch walk these states together, one candidate a step,
+each by its own hashes.  ``agenda`` is the plain heap version, used for very long units and in tests.
 
 Spaces become U+2581, a leading one is added and dropped again on decoding; characters outside the
 vocabulary, and U+2581 itself, become byte pieces, so every text decodes to itself.
 
 Defined cases: null text counts as empty; the empty text has no pieces; null doc_id draws as 0;
-repeated rows get equal pieces; extra columns are ignored; an empty table gives no rows.
+repeated rows get equal pieces; a text of any length is encoded whole, a unit of more than ``LONG_UNIT``
+symbols by the heap; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import gc
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import U64, mix64, slices, table
+from .util import U64, _powers, mix64, slices, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SEED, DROPOUT, DRAWS = 20240501, 0.1, 4
+SEED, DROPOUT = 20240501, 0.1
 LONG_UNIT = 40
-CACHE_UNITS = 250_000
+#: Bytes of agenda states that one task keeps; beyond it they are found anew.
+STATE_BYTES = 96 << 20
 SPACE = "▁"
-_UNIT = re.compile(r" *[^ \n]+| +|\n")
 _NONE = np.int32(1 << 30)
+_A, _B, _C = 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93
+_MASK = (1 << 64) - 1
 
 
 class Vocabulary:
@@ -50,6 +52,7 @@ class Vocabulary:
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.size = n = sp.get_piece_size()
+        self.kind = np.int16 if n < 1 << 15 else np.int32
         special = np.array([sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(n)])
         pieces = [sp.id_to_piece(i) for i in range(n)]
         self.byte_ids = np.zeros(256, np.int32)
@@ -116,23 +119,28 @@ class Vocabulary:
         return self.raw_flat[at].tobytes(), end
 
 
-def unit_key(unit: str, draw: int, seed: int) -> int:
-    """Key of a unit and draw: a hash of all its characters, seeded by both."""
-    return xxhash.xxh64_intdigest(unit, draw_seed(draw, seed))
+def unit_keys(doc: int, n: int, seed: int) -> np.ndarray:
+    """Keys of the first n units of a document."""
+    base = np.array([(doc * 0x9E3779B97F4A7C15 ^ seed) & _MASK], U64)
+    return mix64(mix64(base) + np.arange(n, dtype=U64) * U64(0xD1B54A32D192ED03))
 
 
-def draw_seed(draw: int, seed: int) -> int:
-    return (draw * 0xD1B54A32D192ED03 ^ seed) & ((1 << 64) - 1)
+def limit(dropout: float) -> int:
+    """A candidate is skipped when its hash, of 64 bits, is below this."""
+    return min(_MASK, round(dropout * 2.0**64))
 
 
-def skipped(key, i, j, k, dropout: float):
-    """Whether the candidate with span (i, j, k) is skipped under a unit's key; scalars or arrays."""
-    h = mix64(np.atleast_1d(np.asarray(key, U64)) + np.atleast_1d(np.asarray(i, U64)) * U64(0xA24BAED4963EE407) + np.atleast_1d(np.asarray(j, U64)) * U64(0x9FB21C651E98DF25) + np.atleast_1d(np.asarray(k, U64)) * U64(0xD6E8FEB86659FD93))
-    return (h >> U64(11)).astype(np.float64) * (1.0 / 9007199254740992.0) < dropout
+def skipped(key: int, i: int, j: int, k: int, below: int) -> bool:
+    """Whether the candidate with span (i, j, k) is skipped under a unit's key."""
+    x = (key + i * _A + j * _B + k * _C) & _MASK
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & _MASK
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & _MASK
+    return (x ^ x >> 31) < below
 
 
 def agenda(v: Vocabulary, unit: str, key: int, dropout: float) -> list[int]:
     """Segment one unit with a priority queue."""
+    below = limit(dropout)
     sym = v.symbols(unit)
     n = len(sym)
     start, prev, nxt = list(range(n)), list(range(-1, n - 1)), [*range(1, n), -1]
@@ -152,7 +160,7 @@ def agenda(v: Vocabulary, unit: str, key: int, dropout: float) -> list[int]:
         _, _, a, b, sa, sb, joined = heapq.heappop(heap)
         if sym[a] != sa or sym[b] != sb or nxt[a] != b:
             continue
-        if skipped(key, start[a], start[b], end[b], dropout)[0]:
+        if skipped(key, start[a], start[b], end[b], below):
             continue
         sym[a], sym[b], end[a] = joined, -1, end[b]
         nxt[a] = nxt[b]
@@ -164,144 +172,232 @@ def agenda(v: Vocabulary, unit: str, key: int, dropout: float) -> list[int]:
     return [s for s in sym if s >= 0]
 
 
-def segment(v: Vocabulary, units: list[str], keys: list[int], dropout: float) -> list[bytes]:
-    """Piece ids (int32 bytes) of many units at once: every step merges the best candidate of each unit that has one."""
-    out: list[bytes] = [b""] * len(units)  # type: ignore[list-item]
-    chars = np.array([len(u) for u in units], np.int64)
-    flat = v.char[np.frombuffer("".join(units).encode("utf-32-le"), "<u4")]
-    first = np.concatenate(([0], np.cumsum(chars)))
-    odd = np.unique(np.searchsorted(first, np.flatnonzero(flat < 0), side="right") - 1)  # units with byte pieces
-    spelt = {int(i): v.symbols(units[i]) for i in odd}
-    size = chars.copy()
-    size[odd] = [len(spelt[int(i)]) for i in odd]
-    for i in np.flatnonzero(size > LONG_UNIT):
-        out[i] = np.array(agenda(v, units[i], keys[i], dropout), np.int32).tobytes()
-    lo = 0
-    for hi in (4, 8, 12, 16, 24, LONG_UNIT):
-        chosen = np.flatnonzero((size > lo) & (size <= hi))
-        lo = hi
-        if not len(chosen):
-            continue
-        n = len(chosen)
-        s = np.full((n, hi + 1), -1, np.int32)
-        length = size[chosen]
-        row = np.repeat(np.arange(n), chars[chosen])
-        col = np.arange(len(row)) - np.repeat(np.cumsum(chars[chosen]) - chars[chosen], chars[chosen])
-        fits = col < hi
-        s[row[fits], col[fits]] = flat[(first[chosen][row] + col)[fits]]
-        for k in np.flatnonzero(np.isin(chosen, odd)):
-            x = spelt[int(chosen[k])]
-            s[k, : len(x)] = x
-        off = np.minimum(np.arange(hi + 2)[None, :], length[:, None]).astype(np.int32)
-        key = np.array([keys[i] for i in chosen], U64)
-
-        def rate(rows, cols, s, off, key):
-            """Rank of the candidates at the given places, or _NONE."""
-            a, b = s[rows, cols], s[rows, cols + 1]
-            r = np.full(len(a), _NONE, np.int32)
-            ok = np.flatnonzero((a >= 0) & (b >= 0))
-            j = np.full(len(a), -1, np.int32)
-            j[ok] = v.join(a[ok], b[ok])
-            ok = ok[j[ok] >= 0]
-            if len(ok):
-                keep = ~skipped(key[rows[ok]], off[rows[ok], cols[ok]], off[rows[ok], cols[ok] + 1], off[rows[ok], cols[ok] + 2], dropout)
-                r[ok[keep]] = v.rank[j[ok[keep]]]
-            return r
-
-        rr, cc = np.divmod(np.arange(n * hi), hi)
-        rank = np.concatenate((rate(rr, cc, s, off, key).reshape(n, hi), np.full((n, 1), _NONE, np.int32)), axis=1)
-        live = np.arange(n)
-        cols = np.arange(hi + 1)
-        while len(live):
-            best = rank.argmin(axis=1)
-            row = np.arange(len(live))
-            done = rank[row, best] >= _NONE
-            if done.any():
-                x = s[done]
-                ends = (4 * np.cumsum((x >= 0).sum(axis=1))).tolist()
-                data, a = x[x >= 0].tobytes(), 0
-                for i, b in zip(chosen[live[done]].tolist(), ends, strict=True):
-                    out[i] = data[a:b]
-                    a = b
-                keep = ~done
-                live, s, off, rank, key, best = live[keep], s[keep], off[keep], rank[keep], key[keep], best[keep]
-                row = np.arange(len(live))
-                if not len(live):
-                    break
-            joined = v.by_rank[rank[row, best]]
-            # everything right of the merged pair moves one place to the left
-            after = cols[None, :hi] > best[:, None]
+class _States:
+    """Agenda states of units of up to ``width`` symbols, as rows of growing arrays."""
+
+    def __init__(self, v: Vocabulary, width: int):
+        self.v, self.width, self.n = v, width, 0
+        self.sym, self.rank, self.off = (np.zeros((0, w), k) for w, k in ((width + 1, v.kind), (width + 1, np.int32), (width + 2, np.uint8)))
+        self.best, self.step = np.zeros(0, np.int32), np.zeros(0, U64)  # column of the next candidate (-1: none), its part of the hash
+        self.after = np.zeros((0, 2), np.int32)  # the state after merging and after skipping it, -1 while unknown
+        self.piece, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)  # of states without a candidate: where their pieces are
+        self.pieces, self.filled = np.zeros(1024, np.int32), 0
+
+    def bytes(self) -> int:
+        return len(self.best) * (7 * self.width + 60) + self.pieces.nbytes
+
+    def _room(self, more: int) -> None:
+        need = self.n + more
+        if need > len(self.best):
+            cap = max(1024, need, len(self.best) * 3 // 2)
+            for name in ("sym", "rank", "off", "best", "step", "after", "piece", "size"):
+                old = getattr(self, name)
+                new = np.empty((cap, *old.shape[1:]), old.dtype)
+                new[: self.n] = old[: self.n]
+                setattr(self, name, new)
+
+    def _rate(self, sym: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        """Rank of the join of two neighbours, or _NONE."""
+        a, b = sym[rows, cols].astype(np.int32), sym[rows, cols + 1].astype(np.int32)
+        out = np.full(len(a), _NONE, np.int32)
+        ok = np.flatnonzero((a >= 0) & (b >= 0))
+        j = self.v.join(a[ok], b[ok])
+        out[ok] = np.where(j >= 0, self.v.rank[j], _NONE)
+        return out
+
+    def add(self, sym: np.ndarray, rank: np.ndarray | None, off: np.ndarray) -> np.ndarray:
+        """New states; their numbers."""
+        n, hi = len(sym), self.width
+        if rank is None:
+            rr, cc = np.divmod(np.arange(n * hi), hi)
+            rank = np.concatenate((self._rate(sym, rr, cc).reshape(n, hi), np.full((n, 1), _NONE, np.int32)), axis=1)
+        self._room(n)
+        at = np.arange(self.n, self.n + n)
+        self.n += n
+        rows = np.arange(n)
+        best = rank.argmin(axis=1)
+        done = rank[rows, best] >= _NONE
+        self.sym[at], self.rank[at], self.off[at] = sym, rank, off
+        i, j, k = (off[rows, best + d].astype(U64) for d in (0, 1, 2 - (best == hi)))
+        self.step[at] = i * U64(_A) + j * U64(_B) + k * U64(_C)
+        self.best[at] = np.where(done, -1, best)
+        self.after[at] = -1
+        x = sym[done]
+        size = (x >= 0).sum(axis=1)
+        flat = x[x >= 0]
+        if self.filled + len(flat) > len(self.pieces):
+            self.pieces = np.resize(self.pieces, max(self.filled + len(flat), 2 * len(self.pieces)))
+        self.pieces[self.filled : self.filled + len(flat)] = flat
+        self.size[at[done]] = size
+        self.piece[at[done]] = self.filled + np.cumsum(size) - size
+        self.filled += len(flat)
+        return at
+
+    def expand(self, state: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """The states that follow ``state`` when its candidate is skipped or merged."""
+        hi, rows, cols = self.width, np.arange(len(state)), np.arange(self.width + 1)
+        sym, rank, off, best = self.sym[state], self.rank[state], self.off[state], self.best[state].astype(np.int64)
+        joined = self.v.by_rank[rank[rows, best]]
+        rank[rows[skip], best[skip]] = _NONE
+        m = np.flatnonzero(~skip)
+        if len(m):
+            s, r, o, b, row = sym[m], rank[m], off[m], best[m], np.arange(len(m))
+            after = cols[None, :hi] > b[:, None]  # everything right of the merged pair moves one place to the left
             s[:, :hi] = np.where(after, s[:, 1:], s[:, :hi])
-            rank[:, :hi] = np.where(after, rank[:, 1:], rank[:, :hi])
-            s[:, hi], rank[:, hi] = -1, _NONE
-            off[:, :-1] = np.where(cols[None, :] > best[:, None], off[:, 1:], off[:, :-1])
-            s[row, best] = joined
-            rank[row, best] = rate(row, best, s, off, key)
-            left = np.flatnonzero(best > 0)
-            if len(left):
-                rank[left, best[left] - 1] = rate(left, best[left] - 1, s, off, key)
-    return out
+            r[:, :hi] = np.where(after, r[:, 1:], r[:, :hi])
+            s[:, hi], r[:, hi] = -1, _NONE
+            o[:, :-1] = np.where(cols[None, :] > b[:, None], o[:, 1:], o[:, :-1])
+            s[row, b] = joined[m]
+            r[row, b] = self._rate(s, row, b)
+            left = np.flatnonzero(b > 0)
+            r[left, b[left] - 1] = self._rate(s, left, b[left] - 1)
+            sym[m], rank[m], off[m] = s, r, o
+        return self.add(sym, rank, off)
+
+    def walk(self, state: np.ndarray, key: np.ndarray, below: int) -> np.ndarray:
+        """The last state of each occurrence that begins in ``state`` and draws by ``key``."""
+        state, live = state.copy(), np.flatnonzero(self.best[state] >= 0)
+        while len(live):
+            now = state[live]
+            skip = mix64(key[live] + self.step[now]) < U64(below) if below else np.zeros(len(live), bool)
+            nxt = self.after[now, skip.astype(np.int8)]
+            new = np.flatnonzero(nxt < 0)
+            if len(new):
+                pair, back = np.unique(now[new] * 2 + skip[new], return_inverse=True)
+                made = self.expand(pair >> 1, (pair & 1).astype(bool))
+                self.after[pair >> 1, pair & 1] = made
+                nxt[new] = made[back]
+            state[live] = nxt
+            live = live[self.best[nxt] >= 0]
+        return state
+
+
+class Agendas:
+    """Segments occurrences of units; keeps what its units' agendas have in common up to ``STATE_BYTES``."""
+
+    WIDTHS = (6, 10, 16, 24, LONG_UNIT)
+
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT):
+        self.v, self.dropout, self.below = vocabulary, dropout, limit(dropout)
+        self.clear()
+
+    def clear(self) -> None:
+        self.pools = [_States(self.v, w) for w in self.WIDTHS]
+        self.known: dict[int, int] = {}  # unit's hash: its first state, times the number of pools, plus its pool; -1: too long
+
+    def _learn(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """First states of new units."""
+        size, code = end - start, np.empty(len(start), np.int64)
+        row = np.repeat(np.arange(len(start)), size)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        flat = chars[start[row] + at]
+        ids = self.v.char[flat]
+        odd = ids < 0
+        if odd.any():  # characters without a piece are spelt in bytes
+            c = flat[odd].astype(np.int64)
+            more = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+            many = np.ones(len(flat), np.int64)
+            many[odd] = more
+            spelt = np.frombuffer("".join(map(chr, c.tolist())).encode("utf-8", "surrogatepass"), np.uint8)
+            row, ids = np.repeat(row, many), np.repeat(ids, many)
+            ids[ids < 0] = self.v.byte_ids[spelt]
+            size = np.bincount(row, minlength=len(start))
+            at = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        lo = 0
+        for p, hi in enumerate(self.WIDTHS):
+            chosen = np.flatnonzero((size > lo) & (size <= hi))
+            lo = hi
+            if not len(chosen):
+                continue
+            sym = np.full((len(chosen), hi + 1), -1, self.v.kind)
+            mine = np.flatnonzero(np.isin(row, chosen)) if len(chosen) < len(size) else np.arange(len(row))
+            sym[np.searchsorted(chosen, row[mine]), at[mine]] = ids[mine]
+            off = np.minimum(np.arange(hi + 2)[None, :], size[chosen][:, None]).astype(np.uint8)
+            code[chosen] = self.pools[p].add(sym, None, off) * len(self.pools) + p
+        code[size > LONG_UNIT] = -1
+        return code
+
+    def segment(self, chars: np.ndarray, start: np.ndarray, end: np.ndarray, name: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of all units in a row, and where each unit's end; ``name`` is a hash of its characters."""
+        if sum(p.bytes() for p in self.pools) > STATE_BYTES:
+            self.clear()
+        names, first, back = np.unique(name, return_index=True, return_inverse=True)
+        code = np.fromiter((self.known.get(x, -2) for x in names.tolist()), np.int64, len(names))
+        new = np.flatnonzero(code == -2)
+        if len(new):
+            code[new] = self._learn(chars, start[first[new]], end[first[new]])
+            self.known.update(zip(names[new].tolist(), code[new].tolist(), strict=True))
+        code = code[back]
+        size, parts = np.zeros(len(name), np.int64), []
+        for p, pool in enumerate(self.pools):
+            mine = np.flatnonzero((code >= 0) & (code % len(self.pools) == p))
+            if len(mine):
+                last = pool.walk(code[mine] // len(self.pools), key[mine], self.below)
+                size[mine] = pool.size[last]
+                parts.append((mine, pool, pool.piece[last]))
+        odd = {}
+        for i in np.flatnonzero(code == -1).tolist():
+            unit = chars[start[i] : end[i]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            odd[i] = np.array(agenda(self.v, unit, int(key[i]), self.dropout), np.int32)
+            size[i] = len(odd[i])
+        bound = np.concatenate(([0], np.cumsum(size)))
+        out = np.empty(bound[-1], np.int32)
+        for mine, pool, at in parts:
+            n = size[mine]
+            run = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            out[np.repeat(bound[mine], n) + run] = pool.pieces[np.repeat(at, n) + run]
+        for i, x in odd.items():
+            out[bound[i] : bound[i + 1]] = x
+        return out, bound
+
+
+_CODE = mix64(np.arange(1 << 16, dtype=U64) + U64(0x2545F491))
 
 
 class Encoder:
-    """Encodes batches of texts; segmented units are cached up to about ``CACHE_UNITS``.
-
-    The cache has two generations: when the newer one holds half of the bound it becomes the older one,
-    and units found there move to the newer one, so frequent units outlive the many that occur once.
-    """
-
-    def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT, draws: int = DRAWS):
-        self.v, self.seed, self.dropout = vocabulary, seed, dropout
-        self.draws = draws if dropout > 0 else 1
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
+    """Encodes batches of texts."""
+
+    def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT):
+        self.v, self.seed, self.agendas = vocabulary, seed, Agendas(vocabulary, dropout)
+
+    def encode_flat(self, texts: list[str], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts in a row, and their bounds."""
+        some = [" " + t if t else "" for t in texts]
+        chars = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), "<u4")
+        size = np.array([len(t) for t in some], np.int64)
+        edge = np.concatenate(([0], np.cumsum(size)))
+        if not len(chars):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        # a unit begins with a run of spaces, at a line break, after one, and with each text
+        space, line = chars == 32, chars == 10
+        begin = np.ones(len(chars), bool)
+        begin[1:] = (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
+        begin[edge[:-1][size > 0]] = True
+        start = np.flatnonzero(begin)
+        end = np.append(start[1:], len(chars))
+        doc = np.searchsorted(edge, start, side="right") - 1
+        count = np.bincount(doc, minlength=len(texts))
+        key = np.concatenate([unit_keys(d, int(n), self.seed) for d, n in zip(ids, count, strict=True)])
+        # polynomial hash of the characters of each unit
+        fwd, back = _powers(len(chars) + 1)
+        code = _CODE[chars & 0xFFFF] + (chars >> 16).astype(U64) * U64(0x9E3779B97F4A7C15)
+        total = np.zeros(len(chars) + 1, U64)
+        np.cumsum(code * back[: len(chars)], out=total[1:])
+        name = mix64((total[end] - total[start]) * fwd[start] ^ (end - start).astype(U64) * U64(_C))
+        flat, bound = self.agendas.segment(chars, start, end, name, key)
+        return flat, bound[np.concatenate(([0], np.cumsum(count)))]
 
     def encode(self, texts: list[str], ids: list[int]) -> list[np.ndarray]:
-        """Piece ids of each text; the cyclic collector rests meanwhile, as nothing here makes cycles."""
-        was = gc.isenabled()
-        gc.disable()
-        try:
-            return self._encode(texts, ids)
-        finally:
-            if was:
-                gc.enable()
-
-    def _encode(self, texts: list[str], ids: list[int]) -> list[np.ndarray]:
-        if sum(map(len, self.cache)) > CACHE_UNITS // 2:
-            self.older, self.cache = self.cache, [{} for _ in range(self.draws)]
-        plan, missing = [], [set() for _ in range(self.draws)]
-        known = [c.get for c in self.cache]
-        for text, doc in zip(texts, ids, strict=True):
-            units = _UNIT.findall(" " + text) if text else []
-            base = np.array([(doc * 0x9E3779B97F4A7C15 ^ self.seed) & ((1 << 64) - 1)], U64)
-            draw = (mix64(mix64(base) + np.arange(len(units), dtype=U64)) % U64(self.draws)).tolist()
-            parts = [known[d](u) for u, d in zip(units, draw, strict=True)]
-            gaps = []
-            for i in [i for i, x in enumerate(parts) if x is None]:
-                u, d = units[i], draw[i]
-                x = self.older[d].get(u)
-                if x is None:
-                    missing[d].add(u)
-                    gaps.append((i, u, d))
-                else:
-                    parts[i] = self.cache[d][u] = x
-            plan.append((parts, gaps))
-        todo = [(u, d) for d, us in enumerate(missing) for u in us]
-        seeds = [draw_seed(d, self.seed) for d in range(self.draws)]
-        found = segment(self.v, [u for u, _ in todo], [xxhash.xxh64_intdigest(u, seeds[d]) for u, d in todo], self.dropout)
-        for (u, d), x in zip(todo, found, strict=True):
-            self.cache[d][u] = x
-        for parts, gaps in plan:
-            for i, u, d in gaps:
-                parts[i] = self.cache[d][u]
-        return [np.frombuffer(b"".join(parts), np.int32) for parts, _ in plan]
+        """Piece ids of each text."""
+        flat, bound = self.encode_flat(texts, ids)
+        return [flat[a:b] for a, b in zip(bound[:-1], bound[1:], strict=True)]
 
 
 _VOCABULARIES: dict[int, Vocabulary] = {}
 
 
 def _vocabulary(proto: bytes) -> Vocabulary:
-    """The tables of a vocabulary file, made once in each Python worker; caches of units last for one task only."""
+    """The tables of a vocabulary file, made once in each Python worker; states of agendas last for one task only."""
     key = hash(proto)
     if key not in _VOCABULARIES:
         _VOCABULARIES.clear()
@@ -318,14 +414,12 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, dropout: float
         enc = Encoder(_vocabulary(proto.value), seed, dropout)
         for part, raw in slices(batches, limit=1 << 20):
             texts = [t.decode("utf-8") for t in raw]
-            pieces = enc.encode(texts, [i or 0 for i in part.column(0).to_pylist()])
-            edges = np.concatenate(([0], np.cumsum([len(x) for x in pieces]))).astype(np.int32)
-            every = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+            every, edges = enc.encode_flat(texts, [i or 0 for i in part.column(0).to_pylist()])
             data, end = enc.v.decode_all(every)
             bound = np.concatenate(([0], end))[edges].tolist()
             back = [data[a + 1 : b] == t for a, b, t in zip(bound[:-1], bound[1:], raw, strict=True)]
-            flat = pa.ListArray.from_arrays(edges, every)
-            yield pa.record_batch({"doc_id": part.column(0), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "n_pieces": pa.array([len(x) for x in pieces], pa.int64()), "pieces": flat, "lossless": back})
+            flat = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(every))
+            yield pa.record_batch({"doc_id": part.column(0), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "n_pieces": pa.array(np.diff(edges)), "pieces": flat, "lossless": back})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_chars long, n_pieces long, pieces array<int>, lossless boolean")
 
