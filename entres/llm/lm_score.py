@@ -45,7 +45,7 @@ START = 0x57A7757A7757A775
 ORDER = 3
 #: Values of kappa that are tried for bigrams, and for longer n-grams.
 GRID = ((50.0, 200.0, 800.0), (1.0, 4.0, 16.0))
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SMOOTH = 0.1
 #: Longest piece of a text that is walked at once; longer texts are walked in several pieces side by side.
 PIECE = 192
@@ -71,13 +71,13 @@ class Grams:
         n = len(texts)
         self.n_tokens = w.count + 1
         self.last = np.cumsum(self.n_tokens) - 1
-        self.doc = np.repeat(np.arange(n), self.n_tokens)
+        self.doc = np.repeat(np.arange(n, dtype=np.int32), self.n_tokens)
         tok = np.empty(len(self.doc), U64)
         is_end = np.zeros(len(tok), bool)
         is_end[self.last] = True
         tok[is_end] = END
         tok[~is_end] = w.hash
-        place = np.arange(len(tok)) - np.repeat(np.concatenate(([0], self.last[:-1] + 1)) if n else [], self.n_tokens).astype(np.int64)
+        place = np.arange(len(tok)) - np.repeat(np.concatenate(([0], self.last[:-1] + 1)) if n else [], self.n_tokens).astype(np.int32)
         self.order = order
         # at[k][i]: hash of the k tokens that end at i, START filling in before the text
         at = {1: tok}
@@ -89,7 +89,8 @@ class Grams:
         self.place = place
         self.keys, self.first, self.inverse = {}, {}, {}
         for k in at:
-            self.keys[k], self.first[k], self.inverse[k] = np.unique(at[k] >> U64(64 - bits), return_index=True, return_inverse=True)
+            self.keys[k], first, inverse = np.unique(at[k] >> U64(64 - bits), return_index=True, return_inverse=True)
+            self.first[k], self.inverse[k] = first.astype(np.int32), inverse.astype(np.int32)
 
     @staticmethod
     def start_hash(k: int) -> np.uint64:
@@ -201,8 +202,8 @@ class Automaton:
         self.start = {k: at + k - 1 for k in range(1, order)}
         states = at + order - 1
         self.context = np.zeros(states, np.int64)  # c(h)
-        self.fail = np.zeros(states, np.int64)
-        self.depth = np.zeros(states, np.int64)
+        self.fail = np.zeros(states, np.int32)
+        self.depth = np.zeros(states, np.int8)
         for k in range(1, order):
             own = slice(base[k], base[k] + len(g.keys[k]))
             self.context[own], self.depth[own] = total[k], k
@@ -221,20 +222,20 @@ class Automaton:
         for k in range(1, order + 1):
             i = g.first[k]
             offset[k], size = size, size + len(i)
-            state.append(before(k - 1, i))
+            state.append(before(k - 1, i).astype(np.int32))
             word.append(g.inverse[1][i])
             count.append(total[k])
-            lower.append(offset[k - 1] + g.inverse[k - 1][i] if k > 1 else np.full(len(i), -1))
-            level.append(np.full(len(i), k))
-            target.append(base[min(k, order - 1)] + g.inverse[min(k, order - 1)][i] if order > 1 else np.zeros(len(i), np.int64))
+            lower.append((offset[k - 1] + g.inverse[k - 1][i] if k > 1 else np.full(len(i), -1)).astype(np.int32))
+            level.append(np.full(len(i), k, np.int8))
+            target.append((base[min(k, order - 1)] + g.inverse[min(k, order - 1)][i] if order > 1 else np.zeros(len(i))).astype(np.int32))
         self.state, self.word, self.count, self.lower, self.level, self.target = (np.concatenate(x) for x in (state, word, count, lower, level, target))
         # only n-grams seen in training are arcs; at the root every word has one (a word never seen has the weight of count 0)
         arc = np.flatnonzero((self.count > 0) | (self.level == 1))
         key = self.state[arc] * np.int64(len(g.keys[1]) + 1) + self.word[arc]
         turn = np.argsort(key, kind="stable")
-        self.arc_key, self.arc = key[turn], arc[turn]
+        self.arc_key, self.arc = key[turn], arc[turn].astype(np.int32)
         # a state that was never seen in training is the state of its longest suffix that was
-        self.known = np.arange(states)
+        self.known = np.arange(states, dtype=np.int32)
         for k in range(1, order):
             own = np.append(np.arange(base[k], base[k] + len(g.keys[k])), self.start[k])
             unseen = own[self.context[own] == 0]
@@ -254,7 +255,7 @@ class Automaton:
         at = np.where(whole, begin, begin - early)
         now = np.where(whole, self.known[self.start[early]] if early else 0, 0)
         word, width = g.inverse[1], np.int64(len(g.keys[1]) + 1)
-        taken, stood = np.empty(n, np.int64), np.empty(n, np.int64)
+        taken, stood = np.empty(n, np.int32), np.empty(n, np.int32)
         order = np.argsort(at - end, kind="stable")  # longest first, so that those at work are a prefix
         at, end, begin, now = at[order], end[order], begin[order], now[order]
         length = end - at
@@ -262,7 +263,7 @@ class Automaton:
             live = int(np.searchsorted(-length, -t, side="left"))
             i = at[:live] + t
             stood[i] = now[:live]
-            s, w = now[:live].copy(), word[i]
+            s, w = now[:live].astype(np.int64), word[i]
             found = np.empty(live, np.int64)
             todo = np.arange(live)
             while len(todo):
@@ -304,7 +305,6 @@ class Automaton:
         often = times[g.doc][use]
         c = self.total[1][g.inverse[1][use]]
         root = (np.maximum(c - 1, 0) + SMOOTH) / (max(self.tokens - 1, 0) + SMOOTH * (self.words + 1))
-        place = g.place[use]
         levels = []
         for k in range(2, g.order + 1):
             h = np.empty(len(g.doc), np.int64)
@@ -318,7 +318,6 @@ class Automaton:
                     arc, h = levels[k - 1]
                     memo[kappa[:k]] = np.where(h > 0, (np.maximum(arc, 0) + kappa[k - 1] * memo[kappa[: k - 1]]) / (np.maximum(h, 0) + kappa[k - 1]), memo[kappa[: k - 1]])
             out.append(float((np.log10(memo[kappa]) * often).sum()))
-        del place
         return np.array(out)
 
 
