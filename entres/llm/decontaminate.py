@@ -12,10 +12,12 @@ searched; positions refer to the original text, in characters.
 
 Scale.  Documents are never shuffled.  The benchmark is read in blocks of at most ``BLOCK_CHARS``
 characters; each block is broadcast (the bound is its size) and scans the documents once, so a
-benchmark of any size has a way, and the index of one block fits every executor.
+benchmark of any size has a way, and the index of one block fits every executor.  The driver reads one block at a time; what
+is broadcast stays until the lazy result has been computed.
 
 Defined cases: null and empty texts and items match nothing; items with equal text are each
-reported; repeated rows are reported each; extra columns are ignored; empty tables give no rows.
+reported; repeated rows are reported each; a text of any length is searched whole; extra columns are ignored (kept by the
+stage, whatever their names); empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +41,10 @@ _FOLD[65:91] += 32
 _FOLD[0xC0:0xDF] += 32
 _FOLD[0xD7] = 0xD7
 _FOLD[[9, 10, 11, 12, 13, 0xA0]] = 32
+#: Between two texts; no character has this number.
+_APART = 0x110000
+#: Shared q-grams that a task holds at once.
+HITS = 4_000_000
 _CODE = mix64(np.arange(0x10000, dtype=U64) + U64(0x2545F491))
 
 
@@ -52,7 +58,7 @@ def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.concatenate(([0], np.cumsum(size + 1)))[: len(texts)]
     x = np.where(raw < 0x10000, _FOLD[raw & 0xFFFF], raw)
     ends = first[1:] - 1
-    x[ends] = 0xFFFF
+    x[ends] = _APART
     keep = np.ones(len(x), bool)
     keep[1:] = (x[1:] != 32) | (x[:-1] != 32)
     kept = np.flatnonzero(keep)
@@ -163,15 +169,18 @@ def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int
         same = index.keys[slot] == g[place]
         place, slot = place[same], slot[same]
         many = index.first[slot + 1] - index.first[slot]
-        pos = np.repeat(place, many)
-        post = np.repeat(index.first[slot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item, diag = index.who[post], pos - index.at[post]
-        step = index.k[item] + 1
-        band = diag // step
-        # bands of 2 * step diagonals that overlap by half; one that opens before its first hit holds no more than the next
         span = np.int64(len(x)) + 4096
-        key = item * (2 * span) + band + span
-        u, c = np.unique(key, return_counts=True)
+        u, c, lo = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        while lo < len(place):  # a frequent q-gram of many items makes many hits: a bounded number at a time
+            hi = lo + max(1, int(np.searchsorted(np.cumsum(many[lo:]), HITS, side="right")))
+            n = many[lo:hi]
+            post = np.repeat(index.first[slot[lo:hi]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            item, diag = index.who[post], np.repeat(place[lo:hi], n) - index.at[post]
+            # bands of 2 * step diagonals that overlap by half; one that opens before its first hit holds no more than the next
+            u2, c2 = np.unique(item * (2 * span) + diag // (index.k[item] + 1) + span, return_counts=True)
+            u, back = np.unique(np.concatenate((u, u2)), return_inverse=True)
+            c = np.bincount(back, weights=np.concatenate((c, c2)), minlength=len(u)).astype(np.int64)
+            lo = hi
         nxt = np.searchsorted(u, u + 1)
         follow = np.where((nxt < len(u)) & (u[np.minimum(nxt, len(u) - 1)] == u + 1), c[np.minimum(nxt, len(u) - 1)], 0)
         opens = np.flatnonzero(np.maximum(c + follow, c) >= index.t[u // (2 * span)])
@@ -208,7 +217,7 @@ COLUMNS = "doc_id long, item_id long, start long, end long, edits int, shared_qg
 
 
 def _items(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Blocks of items of bounded size; only one block is on the driver at a time."""
+    """Blocks of items of bounded size, read one after the other."""
     sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_CHARS))
@@ -242,8 +251,7 @@ def _finder(shared):
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; all columns stay.  Narrow: the test runs inside the scan."""
-    cols, out = docs.columns, docs
-    kind = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    out = docs
     for items in _items(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -254,7 +262,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 keep[[r[0] for r in search(index, [t.decode("utf-8") for t in raw])]] = False
                 yield part.filter(pa.array(keep))
 
-        out = out.select(*cols).mapInArrow(run, kind)
+        out = out.mapInArrow(run, docs.schema)
     return out
 
 

@@ -7,22 +7,22 @@ executors).  The weights of the classes are fitted by follow-the-regularised-lea
 penalties on at most ``SAMPLE`` rows chosen by hash of doc_id, a tenth of which is held back to fit
 the temperature of the softmax.
 
-Defined cases: null text and text without a letter is ``und`` with score 0; with nothing to learn
-from, every text is ``und``; null lang is not learnt from; repeated rows are predicted each; extra
-columns are ignored; an empty table gives no rows.
+Defined cases: null text and text without a letter (Unicode category L) is ``und`` with score 0; with nothing to learn
+from, every text is ``und``; null lang is not learnt from; an id with several rows is learnt from by the least lang and the least text;
+repeated rows are predicted each; a text of any length counts whole; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import U64, crc_mod, mix64, slices, table
+from .util import U64, crc_mod, mix64, one_text, slices, table
 
 #: Documented bound of the labelled rows used for fitting.
 SAMPLE = 5000
@@ -30,7 +30,7 @@ BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.01
 EPOCHS = 2
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,22 +136,41 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     df, n = document_frequency(docs)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
     chosen = docs.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang").dropDuplicates(["doc_id"])
-    rows = texts.mapInArrow(_sample, "doc_id long, lang string, idx binary, val binary").toArrow().sort_by("doc_id").to_pylist()
-    classes = sorted({r["lang"] for r in rows})
-    model, rng = Ftrl(len(classes)), np.random.default_rng(11)
-    data = []
-    for r in rows:
-        idx = np.frombuffer(r["idx"], "<i4").astype(np.int64)
-        data.append((idx, weigh(idx, np.frombuffer(r["val"], "<i4"), idf), classes.index(r["lang"])))
+    texts = one_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "lang")
+    counted = texts.mapInArrow(_sample, "doc_id long, lang string, idx binary, val binary")
+    # one task fits the model, on no more than ``sample`` rows; only weights come to the driver
+    rows = counted.repartition(1).mapInArrow(_fitter(idf), "classes array<string>, w binary, t double").collect()
+    if not rows:
+        return {"classes": [], "idf": idf, "w": np.zeros((BUCKETS + 1, 0)), "t": 1.0}
+    return {"classes": list(rows[0].classes), "idf": idf, "w": np.frombuffer(rows[0].w, "<f8").reshape(BUCKETS + 1, -1), "t": rows[0].t}
+
+
+def _fitter(idf: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0))
+        data = []
+        classes = sorted({r["lang"] for r in rows})
+        for r in rows:
+            idx = np.frombuffer(r["idx"], "<i4").astype(np.int64)
+            data.append((idx, weigh(idx, np.frombuffer(r["val"], "<i4"), idf), classes.index(r["lang"])))
+        w, t = learn(data, len(classes))
+        if classes:
+            yield pa.record_batch({"classes": pa.array([classes], pa.list_(pa.string())), "w": pa.array([w.astype("<f8").tobytes()], pa.binary()), "t": [t]})
+
+    return run
+
+
+def learn(data: list[tuple[np.ndarray, np.ndarray, int]], classes: int) -> tuple[np.ndarray, float]:
+    """Weights fitted by FTRL on (buckets, weights, class) rows, and the temperature fitted on a tenth held back."""
+    model, rng = Ftrl(classes), np.random.default_rng(11)
     order = rng.permutation(len(data))
-    back, learn = order[: len(data) // 10], order[len(data) // 10 :]
+    back, rest = order[: len(data) // 10], order[len(data) // 10 :]
     for _ in range(EPOCHS):
-        for i in rng.permutation(learn):
+        for i in rng.permutation(rest):
             model.step(*data[i])
     w = model.weights(slice(None))
-    logits = np.array([data[i][1] @ w[data[i][0]] + 0.2 * w[BUCKETS] for i in back]).reshape(len(back), len(classes))
-    return {"classes": classes, "idf": idf, "w": w, "t": temperature(logits, np.array([data[i][2] for i in back], int))}
+    logits = np.array([data[i][1] @ w[data[i][0]] + 0.2 * w[BUCKETS] for i in back]).reshape(len(back), classes)
+    return w, temperature(logits, np.array([data[i][2] for i in back], int))
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:

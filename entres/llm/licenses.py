@@ -1,11 +1,14 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance down directories.
 
-Every line of a file, and the whole of a licence file, is compared with the templates.  A word
-weighs its inverse document frequency over all scanned texts, whether a template has it or not; vectors are sparse
-and scaled to unit length.  Lines are pruned exactly: the heaviest words of each template whose removal leaves less than
-``THRESHOLD`` squared of its mass are anchors, and a line without an anchor cannot reach the threshold.  Nor can a line that
-stays below it where every word of no template weighs 1, the least there is.  The few that are left are told apart by
-their set of words and joined with the document frequencies of those words, which are counted over all texts.
+Compared with the templates are every line of a file, every run of words as long as a long template (a notice that
+goes over several lines), and the whole of a licence file.  A word weighs (1 + ln of its count) times its inverse document frequency
+over all scanned texts, whether a template has it or not; vectors are sparse and scaled to unit length.
+
+What cannot reach ``THRESHOLD`` is pruned exactly.  Of a line: the heaviest words of each short template whose removal leaves less than
+the squared threshold of its mass are anchors, and a line without an anchor is out, as is one that
+stays below the threshold where every word of no template weighs 1, the least there is.  Of a run: a cosine is at most the root of the template's mass that
+the run's words cover, and of neighbouring runs the one that covers most is taken.  The few that are left are told apart by
+their words and counts and joined with the document frequencies of those words, which are counted over all texts.
 
 A file without a licence of its own takes that of the nearest ancestor directory with a recognised licence file.
 Directories, not files, are joined with their ancestors' paths, so a directory that holds a third of
@@ -13,7 +16,8 @@ all files counts once; files then look up their own directory.
 
 Defined cases: null and empty texts have no licence of their own; null path is the root directory; of several
 licence files in a directory the best score wins, then the smallest id; ties between templates go to
-the first by name; repeated rows are reported each; extra columns are ignored; an empty table gives no rows.
+the first by name; repeated rows are reported each; a text of any length is scanned whole; extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -27,25 +31,55 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import U64, Words, slices, span_hash, table, write_scratch
+from .util import U64, Words, drop_scratch, slices, span_hash, table, write_scratch
 
 THRESHOLD = 0.7
-#: Statements by which the licences are commonly declared, by SPDX identifier.
+_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_WARRANTY = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+
+
+def _gnu(name: str, version: str) -> str:
+    """The notice that the GNU licences ask to be put at the start of a file."""
+    it = "This library" if name.startswith("GNU Lesser") else "This program"
+    noun = it.split()[1]
+    return f"{it} is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. {it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details. You should have received a copy of the {name} along with this {noun}. If not, see <https://www.gnu.org/licenses/>."
+
+
+def _gnu_title(name: str, version: str, date: str) -> str:
+    """The head of the licence text itself."""
+    return f"{name.upper()} Version {version}, {date} Copyright (C) Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+
+
+#: The texts of licences, the notices by which they are declared in files, and common one-line statements, by SPDX identifier.
 TEMPLATES = {
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0"],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "SPDX-License-Identifier: CC-BY-4.0"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
-    "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0"],
-    "ISC": ["Released under the ISC License.", "SPDX-License-Identifier: ISC"],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0"],
-    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "SPDX-License-Identifier: MIT"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", _gnu("GNU Affero General Public License", "3"), _gnu_title("GNU Affero General Public License", "3", "19 November 2007")],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.",
+    ],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", f"{_BSD_GRANT} {_BSD_WARRANTY}"],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Released under the BSD 3-Clause License.",
+        f"{_BSD_GRANT} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. {_BSD_WARRANTY}",
+    ],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Attribution 4.0 International Creative Commons Attribution 4.0 International Public License By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution 4.0 International Public License (\"Public License\")."],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Attribution-NonCommercial 4.0 International Creative Commons Attribution-NonCommercial 4.0 International Public License By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-NonCommercial 4.0 International Public License (\"Public License\")."],
+    "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0.", "CC0 1.0 Universal Statement of Purpose The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship and/or a database (each, a \"Work\")."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _gnu("GNU General Public License", "2"), _gnu_title("GNU General Public License", "2", "June 1991")],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _gnu("GNU General Public License", "3"), _gnu_title("GNU General Public License", "3", "29 June 2007")],
+    "ISC": ["Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."],
+    "LGPL-2.1": ["Licensed under the GNU Lesser General Public License, version 2.1.", _gnu("GNU Lesser General Public License", "2.1"), _gnu_title("GNU Lesser General Public License", "2.1", "February 1999")],
+    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", _gnu("GNU Lesser General Public License", "3"), _gnu_title("GNU Lesser General Public License", "3", "29 June 2007")],
+    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", f"Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_WARRANTY}"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
 }
+for _name, _texts in TEMPLATES.items():
+    _texts.append(f"SPDX-License-Identifier: {_name}")
+#: Templates of more words than this are looked for in runs of words, others in lines.
+LONG = 24
 LICENCE_FILES = ("LICENSE", "LICENCE", "COPYING", "NOTICE")
 _EDGE = np.zeros(256, bool)
 _EDGE[np.frombuffer(b".,;:!?()[]\"'*#/", np.uint8)] = True
@@ -66,9 +100,20 @@ class Lines:
         self.line = breaks[a[keep]]  # texts end with a break of their own, so lines never join two documents
 
 
-def template_words() -> tuple[list[tuple[str, np.ndarray]], np.ndarray]:
-    rows = [(name, np.unique(Lines([t.encode()]).hash)) for name, texts in TEMPLATES.items() for t in texts]
-    return rows, np.unique(np.concatenate([h for _, h in rows]))
+def counted(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct word hashes and 1 + ln of their counts."""
+    words, n = np.unique(words, return_counts=True)
+    return words, 1.0 + np.log(n)
+
+
+def template_words() -> tuple[list[tuple[str, int, np.ndarray, np.ndarray]], np.ndarray]:
+    """(name, number of words, distinct words, their term weights) of every template, and all words of templates."""
+    rows = []
+    for name, texts in TEMPLATES.items():
+        for t in texts:
+            h = Lines([t.encode()]).hash
+            rows.append((name, len(h), *counted(h)))
+    return rows, np.unique(np.concatenate([h for _, _, h, _ in rows]))
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,23 +145,28 @@ class Matcher:
     def __init__(self, weights: np.ndarray, n: int):
         rows, self.vocab = template_words()
         self.weights, self.n = weights, n
-        self.vectors, anchors = [], set()
-        for name, words in rows:
+        self.vectors, self.runs, anchors = [], [], set()
+        for name, length, words, tf in rows:
             at = np.searchsorted(self.vocab, words)
-            w = weights[at]
+            w = tf * weights[at]
             unit = w / np.sqrt((w * w).sum())
             self.vectors.append((name, dict(zip(at.tolist(), unit.tolist(), strict=True))))
+            if length > LONG:
+                mass = np.zeros(len(self.vocab) + 1)
+                mass[at] = unit**2
+                self.runs.append((length, mass))
+                continue
             order = np.argsort(-unit, kind="stable")
             rest = 1.0 - np.cumsum(unit[order] ** 2)
             anchors.update(at[order[: int(np.searchsorted(-rest, -(THRESHOLD**2) + 1e-9)) + 1]].tolist())
-        self.anchor = np.zeros(len(self.vocab), bool)
+        self.anchor = np.zeros(len(self.vocab) + 1, bool)
         self.anchor[list(anchors)] = True
 
-    def best(self, words: np.ndarray, df: np.ndarray | None = None) -> tuple[float, str]:
-        """The closest template of a set of distinct word hashes; without ``df`` (texts with each word) an upper bound of the score."""
+    def best(self, words: np.ndarray, tf: np.ndarray, df: np.ndarray | None = None) -> tuple[float, str]:
+        """The closest template of distinct word hashes and their term weights; without ``df`` (texts with each word) an upper bound of the score."""
         at = np.minimum(np.searchsorted(self.vocab, words), len(self.vocab) - 1)
         known = self.vocab[at] == words
-        w = np.where(known, self.weights[at], 1.0 if df is None else np.log((1 + self.n) / (1 + df)) + 1)
+        w = tf * np.where(known, self.weights[at], 1.0 if df is None else np.log((1 + self.n) / (1 + df)) + 1)
         norm = float(np.sqrt((w * w).sum()))
         mine = dict(zip(at[known].tolist(), w[known].tolist(), strict=True))
         top = (0.0, "")
@@ -126,21 +176,31 @@ class Matcher:
                 top = (dot, name)
         return top
 
-    def likely(self, texts: list[bytes], whole: list[bool]) -> list[list[np.ndarray]]:
-        """Word sets of the lines, and of the licence files, of each text that may reach the threshold."""
+    def likely(self, texts: list[bytes], whole: list[bool]) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Words and term weights of the lines, runs and licence files of each text that may reach the threshold."""
         x = Lines(texts)
+        if not len(x.hash):
+            return [[] for _ in texts]
         at = np.minimum(np.searchsorted(self.vocab, x.hash), len(self.vocab) - 1)
-        hit = (self.vocab[at] == x.hash) & self.anchor[at]
-        found: list[list[np.ndarray]] = [[] for _ in texts]
+        at = np.where(self.vocab[at] == x.hash, at, len(self.vocab))
+        hit = self.anchor[at]
+        found: list[list] = [[] for _ in texts]
         lines = np.unique(x.line[hit])
         lo, hi = np.searchsorted(x.line, lines), np.searchsorted(x.line, lines, side="right")
         spans = [(int(x.doc[a]), a, b) for a, b in zip(lo, hi, strict=True)]
         for d in sorted({d for d, _, _ in spans if whole[d]}):
             spans.append((d, int(np.searchsorted(x.doc, d)), int(np.searchsorted(x.doc, d, side="right"))))
+        for length, mass in self.runs:
+            covered = np.concatenate(([0.0], np.cumsum(mass[at])))
+            sums = covered[length:] - covered[:-length]
+            able = np.flatnonzero((sums >= THRESHOLD**2 - 1e-9) & (x.doc[: len(sums)] == x.doc[length - 1 : length - 1 + len(sums)])) if len(sums) else []
+            for run in np.split(able, np.flatnonzero(np.diff(able) > 1) + 1) if len(able) else []:
+                a = int(run[np.argmax(sums[run])])
+                spans.append((int(x.doc[a]), a, a + length))
         for d, a, b in spans:
-            words = np.unique(x.hash[a:b])
-            if self.best(words)[0] >= THRESHOLD - 1e-9:
-                found[d].append(words)
+            words, tf = counted(x.hash[a:b])
+            if self.best(words, tf)[0] >= THRESHOLD - 1e-9:
+                found[d].append((words, tf))
         return found
 
 
@@ -151,31 +211,33 @@ def own_licences(files: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Matcher(*model.value)
-        kind = pa.list_(pa.struct([("key", pa.int64()), ("words", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([("key", pa.int64()), ("words", pa.list_(pa.struct([("word", pa.int64()), ("tf", pa.float64())])))]))
         for part, texts in slices(batches):
             paths = part.column(1).to_pylist()
             found = m.likely(texts, [(p or "").rsplit("/", 1)[-1].split(".")[0].upper() in LICENCE_FILES for p in paths])
-            sets = [[{"key": xxhash.xxh64_intdigest(w.tobytes()) - (1 << 63), "words": w.view(np.int64).tolist()} for w in ws] for ws in found]
+            sets = [[{"key": xxhash.xxh64_intdigest(w.tobytes() + tf.tobytes()) - (1 << 63), "words": [{"word": a, "tf": b} for a, b in zip(w.view(np.int64).tolist(), tf.tolist(), strict=True)]} for w, tf in ws] for ws in found]
             yield pa.record_batch({"doc_id": part.column(0), "path": part.column(1), "sets": pa.array(sets, kind)})
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Matcher(*model.value)
         for b in batches:
             top = []
-            for pairs in b.column(1).to_pylist():
-                pairs = sorted((p["word"] % (1 << 64), p["n"]) for p in pairs)
-                top.append(m.best(np.array([w for w, _ in pairs], U64), np.array([n for _, n in pairs], np.float64)))
+            for rows in b.column(1).to_pylist():
+                rows = sorted((r["word"] % (1 << 64), r["tf"], r["n"]) for r in rows)
+                top.append(m.best(np.array([r[0] for r in rows], U64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows], np.float64)))
             yield pa.record_batch({"key": b.column(0), "own": pa.array([n for _, n in top], pa.string()), "score": pa.array([s for s, _ in top], pa.float64())})
 
-    rows = files.selectExpr("cast(doc_id as long) doc_id", "path", "text").mapInArrow(run, "doc_id long, path string, sets array<struct<key:long,words:array<long>>>")
+    rows = files.selectExpr("cast(doc_id as long) doc_id", "path", "text").mapInArrow(run, "doc_id long, path string, sets array<struct<key:long,words:array<struct<word:long,tf:double>>>>")
     rows = write_scratch(rows.withColumn("row", F.monotonically_increasing_id()), "licence-lines")
     sets = rows.select("row", F.posexplode("sets").alias("at", "s")).select("row", "at", "s.key", "s.words")
-    words = sets.groupBy("key").agg(F.first("words").alias("words")).select("key", F.explode("words").alias("word"))
-    words = words.join(counts, "word").groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("pairs"))
+    words = sets.groupBy("key").agg(F.first("words").alias("words")).select("key", F.explode("words").alias("w")).select("key", "w.word", "w.tf")
+    words = words.join(counts, "word").groupBy("key").agg(F.collect_list(F.struct("word", "tf", "n")).alias("rows"))
     scored = words.mapInArrow(score, "key long, own string, score double").where(F.col("score") >= THRESHOLD)
     best = sets.select("row", "at", "key").join(scored, "key").groupBy("row").agg(F.max_by(F.struct("own", "score"), F.struct("score", -F.col("at"))).alias("b"))
     out = rows.select("row", "doc_id", "path").join(best, "row", "left")
-    return write_scratch(out.select("doc_id", "path", F.col("b.own").alias("own"), F.coalesce("b.score", F.lit(0.0)).alias("score")), "own-licences")
+    out = write_scratch(out.select("doc_id", "path", F.col("b.own").alias("own"), F.coalesce("b.score", F.lit(0.0)).alias("score")), "own-licences")
+    drop_scratch(counts, rows)
+    return out
 
 
 def scan(files: DataFrame) -> DataFrame:
@@ -199,14 +261,18 @@ def scan(files: DataFrame) -> DataFrame:
 
 
 def document_paths(docs: DataFrame) -> DataFrame:
-    """``documents`` as a file tree: source/lang/block/id.txt; short documents are the licence files of their directories.
+    """``documents`` as a file tree: source/lang/thousand/hundred/id.txt.
 
-    Of the short ones every fourth sits one directory up, where it covers all blocks of its language.
+    The table has no paths, so these are the query's own: ids divisible by 8 are licence files of their directory, those
+    divisible by 64 of the directory above, and by 512 of the language's, whatever their text.
     """
-    block = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
-    deep = F.concat_ws("/", block, F.concat(F.lit("d"), F.floor(F.coalesce("doc_id", F.lit(0)) / 100)))
-    short = F.coalesce(F.length("text"), F.lit(0)) <= 400
-    path = F.when(short & (F.pmod("doc_id", F.lit(4)) == 0), F.concat(block, F.lit("/LICENSE."), F.col("doc_id"))).when(short, F.concat(deep, F.lit("/LICENSE."), F.col("doc_id")))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    top = F.concat_ws("/", F.coalesce(F.col("source").cast("string"), F.lit("none")), F.coalesce(F.col("lang").cast("string"), F.lit("none")))
+    middle = F.concat_ws("/", top, F.concat(F.lit("t"), F.floor(number / 1000)))
+    deep = F.concat_ws("/", middle, F.concat(F.lit("h"), F.floor(number / 100)))
+    licence = F.concat(F.lit("/LICENSE."), F.col("doc_id"))
+    by = lambda n: F.pmod(F.col("doc_id"), F.lit(n)) == 0
+    path = F.when(by(512), F.concat(top, licence)).when(by(64), F.concat(middle, licence)).when(by(8), F.concat(deep, licence))
     return docs.select("doc_id", F.coalesce(path, F.concat(deep, F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(".txt"))).alias("path"), "text")
 
 

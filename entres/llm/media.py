@@ -6,11 +6,12 @@ narrow (no shuffle) and hold one piece of a batch, bounded in bytes, at a time.
 
 A fingerprint is a time-coded array: each entry packs the frame of an anchor peak, its frequency
 bin, the bin of a later peak and the frames between them.  A peak is a bin stronger than its four
-neighbours in time and frequency, at most ``PEAKS`` of them a frame; an anchor pairs with the peaks of
-the next ``REACH`` frames, at most ``FAN`` of them.  These bounds are the definition of the feature.
+neighbours in time and frequency, the strongest ``PEAKS`` of a frame count (lower bins first among equals); an anchor pairs with the
+first ``FAN`` peaks, in order of time and then strength, of the next ``REACH`` frames.  These bounds are the definition of the feature; the
+query returns its digest.
 
 Defined cases: null or empty text is one unit of padding; repeated rows and equal texts give equal
-values; extra columns are ignored; an empty table gives no rows.
+values; a text of any length is stored whole; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ UNIT = 576
 FRAME = 144
 HOP = FRAME // 2
 RATE = 8000
-PEAKS, REACH, FAN = 1, 3, 2
+PEAKS, REACH, FAN = 3, 3, 4
 BINS = FRAME // 2 + 1
 PAD = b"\xff"
 
@@ -144,4 +145,4 @@ def fingerprint(media: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint(encode_wav(table(spark, sf_dir, "documents")))
+    return fingerprint(encode_wav(table(spark, sf_dir, "documents"))).drop("fingerprint")

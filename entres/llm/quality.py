@@ -10,8 +10,9 @@ Fitting uses at most ``SAMPLE`` labelled rows, chosen by hash of doc_id from the
 (the bound of what is collected and broadcast); scoring is one narrow pass over all whole texts.
 
 Defined cases: null and empty texts have no features and get the softmax of the bias; ids whose
-labels disagree or are null are not learnt from; with no labelled row the score is 0.5; repeated
-rows are scored each; extra columns are ignored; an empty table gives no rows.
+labels disagree or are null are not learnt from; an id with several texts is learnt from by the least of them; with no labelled row the
+score is 0.5; repeated rows are scored each; a text of any length is scored whole; extra columns are ignored (kept by the
+stage, whatever their names); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import U64, Words, crc_mod, mix64, slices, table
+from .util import U64, Words, crc_mod, mix64, one_text, slices, table
 
 #: Documented bound of the labelled rows used for fitting.
 SAMPLE = 6000
@@ -33,7 +34,7 @@ EPOCHS = 6
 RATE = 0.4
 GRAMS = (3, 4, 5)
 #: Bytes of text whose n-grams are held at once (a few hundred bytes of arrays for each).
-SLICE = 1 << 20
+SLICE = 1 << 19
 THRESHOLD = 0.3
 
 
@@ -77,11 +78,11 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def train(samples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
-    """Fit by SGD; returns the log-odds of label 1 that each bucket adds, and the bias."""
-    folded, bias = np.zeros(2 * BUCKETS), np.zeros(2)
+def learn(samples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fit by SGD; returns the vectors of the buckets, the softmax layer and its bias."""
+    bias = np.zeros(2)
     if not samples:
-        return folded, 0.0
+        return np.zeros((2 * BUCKETS, DIM), np.float32), np.zeros((DIM, 2), np.float32), bias
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 1.0 / DIM, (2 * BUCKETS, DIM)).astype(np.float32)
     out = rng.normal(0, 1.0, (DIM, 2)).astype(np.float32)
@@ -104,6 +105,12 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> t
             bias -= rate * 0.02 * p
             # frequent buckets share the step of a document: weights sum to two a document
             vectors[bucket] = rows - (rate * 25.0) * weight[:, None] * grad[None, :].astype(np.float32)
+    return vectors, out, bias
+
+
+def train(samples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
+    """The fitted model, folded: the log-odds of label 1 that each bucket adds, and the bias."""
+    vectors, out, bias = learn(samples, seed)
     z = vectors @ out
     return (z[:, 1] - z[:, 0]).astype(np.float64), float(bias[1] - bias[0])
 
@@ -113,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     known = labels.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
     known = known.where(F.col("doc_id").isNotNull() & (F.col("lo") == F.col("hi")))
     chosen = known.select("doc_id", F.col("lo").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"])
+    texts = one_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "label")
     sparse = texts.mapInArrow(_sparse, "doc_id long, label int, bucket binary, weight binary")
     # one task fits the model, on no more than ``sample`` rows; only the weights come to the driver
     rows = sparse.repartition(1).mapInArrow(_train, "folded binary, bias double").collect()
@@ -138,20 +145,29 @@ def scores(texts: list[bytes], folded: np.ndarray, bias: float) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -50, 50)))
 
 
-def predict(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str]) -> DataFrame:
-    """Score ``text``; the columns ``keep`` pass through, then score and predicted follow."""
+def predict(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
+    """Score ``docs(doc_id, text)``: doc_id, score, predicted."""
     weights = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))  # fixed size: two tables of BUCKETS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folded, bias = weights.value
         for part, texts in slices(batches, limit=SLICE):
             p = scores(texts, folded, bias)
-            kept = {c: part.column(part.schema.get_field_index(c)) for c in keep}
-            yield pa.record_batch(kept | {"score": p, "predicted": (p >= THRESHOLD).astype(np.int32)})
+            yield pa.record_batch({"doc_id": part.column(0), "score": p, "predicted": (p >= THRESHOLD).astype(np.int32)})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
+    """The rows of ``docs`` whose text is predicted 1, with all their columns."""
+    weights = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folded, bias = weights.value
+        for part, texts in slices(batches, limit=SLICE):
+            yield part.filter(pa.array(scores(texts, folded, bias) >= THRESHOLD))
 
-    cols = list(dict.fromkeys([*keep, "text"]))
-    kind = dict(docs.dtypes)
-    return docs.select(*cols).mapInArrow(run, ", ".join([*(f"`{c}` {kind[c]}" for c in keep), "score double, predicted int"]))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> tuple[np.ndarray, float]:
@@ -162,11 +178,10 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> tuple[np
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = predict(docs, quality_model(spark, docs, sf_dir), ["doc_id"])
+    scored = predict(docs, quality_model(spark, docs, sf_dir))
     return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
-    cols = docs.columns
-    return predict(docs, quality_model(spark, table(spark, sf_dir, "documents"), sf_dir), cols).where("predicted = 1").select(*cols)
+    return accepted(docs, quality_model(spark, table(spark, sf_dir, "documents"), sf_dir))

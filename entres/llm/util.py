@@ -57,7 +57,13 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     _LEFT[path] = lambda: fs.delete(p, True)
-    df.write.option("compression", "zstd").parquet(path)
+    freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the shuffles behind a written table are not needed again
+    before = spark.conf.get(freed, "false")
+    spark.conf.set(freed, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(freed, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._entres_path = path
     return out
