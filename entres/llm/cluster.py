@@ -5,7 +5,8 @@ that share a band are ever compared, and their Jaccard similarity is exact.
 
 1. *Stars.*  The smallest key of a band's items is its centre, and every item is compared with the
    centres of its bands: as many comparisons as band rows, however large a group is.  Items that are
-   not similar to their centre form the band's next group, for ``ROUNDS`` rounds.
+   not similar to their centre form the band's next group, for ``ROUNDS`` rounds.  Items of many bands need not meet all their centres:
+   see ``thin``.
 2. *The rest.*  Jaccard distance is a metric: if a is within 1 - t of a centre and r is not within
    2 (1 - t) of it, then a and r cannot be linked.  So what stars leave open are items between those
    distances, against the items near that centre, and groups that are still there after the last
@@ -299,12 +300,14 @@ class Sieve:
         return (self.bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
 
 
-def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None) -> DataFrame:
+def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None, thin: bool = False) -> DataFrame:
     """(key, root) of the components of all pairs that share a band and have at least ``threshold`` similarity.
 
     ``bands(key, band)``; ``elements`` makes rows (key, elems), with the elements as bytes of 64-bit hashes, at least of the
     keys that a broadcast :class:`Sieve` has; items without a link are absent.
     Where rows of one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
+    With ``thin`` an item of many bands is compared with its smallest centre first, and with others only where the
+    links found by then do not join them already.
     """
     scratch, links_found, open_ends = [], None, []
     keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
@@ -316,13 +319,28 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
     elems = keep(own.groupBy("key").agg(F.min("elems").alias("elems")).withColumn("size", F.floor(F.octet_length("elems") / 8)), "elements")
     for _ in range(rounds):
         edges = members.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
-        seen = judged(edges, elems, name, cell)
-        scratch.append(seen)
+        if thin:
+            edges = keep(edges, "pairs")
+            first = judged(edges.groupBy("a").agg(F.min("b").alias("b")), elems, name, cell)
+            near = first.where(F.col("j") >= threshold).select("a", "b")
+            joined = components(near if links_found is None else links_found.union(near), f"{name}-first")
+            root = lambda c: joined.select(F.col("key").alias(c), F.col("root").alias(f"{c}_root"))
+            apart = edges.join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
+            second = judged(apart.join(first.select("a", "b"), ["a", "b"], "left_anti"), elems, name, cell)
+            seen = keep(first.union(second), "seen")
+            drop_scratch(first, second, joined)
+        else:
+            seen = judged(edges, elems, name, cell)
+            scratch.append(seen)
         near = seen.where(F.col("j") >= threshold).select("a", "b")
         links_found = near if links_found is None else links_found.union(near)
         far = members.join(seen.where(F.col("j") < threshold), (F.col("key") == F.col("a")) & (F.col("centre") == F.col("b")))
         far = keep(far.select("band", "key", "centre", "j"), "far")
-        open_ends.append((members, seen, far))
+        skipped = None
+        if thin:  # joined to their centre by other links, at an unknown distance
+            skipped = members.where("key != centre").join(seen.select(F.col("a").alias("key"), F.col("b").alias("centre")), ["key", "centre"], "left_anti")
+            skipped = keep(skipped.select("band", "centre", "key"), "skipped")
+        open_ends.append((members, seen, far, skipped))
         members = keep(groups(far.select("key", "band")), "members")
         if members.isEmpty():
             break
@@ -333,8 +351,11 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
     rest = named(members.select("band", "key"), "key", "root")
     several = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     cells = rest.join(several, "band").select(F.col("band").alias("home"), F.lit(2).alias("side"), "key", "root")
-    for mine, seen, far in open_ends:
-        between = named(named(far.where(F.col("j") >= 2 * threshold - 1 - 1e-9), "key", "root"), "centre", "centre_root").where("root != centre_root")
+    for mine, seen, far, skipped in open_ends:
+        within = far.where(F.col("j") >= 2 * threshold - 1 - 1e-9)
+        if skipped:
+            within = within.union(far.where(F.col("j") < 2 * threshold - 1 - 1e-9).join(skipped.select("band", "centre").distinct(), ["band", "centre"], "left_semi").select(*far.columns))
+        between = named(named(within, "key", "root"), "centre", "centre_root").where("root != centre_root")
         between = keep(between.select("band", "centre", "key", "root"), "between")
         if between.isEmpty():
             continue
@@ -342,7 +363,10 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
         cells = cells.union(between.select(home, F.lit(1), "key", "root"))
         ends = between.select("band", "centre").distinct()
         close = mine.join(ends, ["band", "centre"]).join(seen.where(F.col("j") >= threshold), (F.col("key") == F.col("a")) & (F.col("centre") == F.col("b")))
-        close = named(close.select("band", "centre", "key").union(ends.select("band", "centre", F.col("centre").alias("key"))), "key", "root")
+        close = close.select("band", "centre", "key")
+        if skipped:
+            close = close.union(skipped.join(ends, ["band", "centre"], "left_semi").select("band", "centre", "key"))
+        close = named(close.union(ends.select("band", "centre", F.col("centre").alias("key"))), "key", "root")
         cells = cells.union(close.select(home, F.lit(0), "key", "root"))
     cells = keep(cells, "cells")
     out = found

@@ -150,7 +150,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, cell: int = CELL) ->
     items = sig.groupBy("key").agg(F.min("text_key").alias("lead"), F.min_by("bands", "size").alias("bands"), F.min("size").alias("size"))
     items = write_scratch(items, "items")
     elems = lambda sieve: source.mapInArrow(_elements(sieve), "lead long, key long, elems binary")
-    same = cluster.classes(items.select("key", F.explode("bands").alias("band")), elems, threshold, "near", cell, leads=items.select("key", "lead"))
+    same = cluster.classes(items.select("key", F.explode("bands").alias("band")), elems, threshold, "near", cell, leads=items.select("key", "lead"), thin=True)
     member = sig.select("doc_id", "text_key", "key", "size").join(same, "key", "left").withColumn("class", F.coalesce("root", "key"))
     # a table of its own, so that the join below can split the rows of a large class
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")

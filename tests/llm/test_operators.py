@@ -315,8 +315,8 @@ def test_minhash_finds_near_copies():
     assert near > 80 and met >= 0.95 * near
 
 
-@pytest.mark.parametrize(("cell", "rounds"), [(10**6, 1), (200, 1), (300, 2)])
-def test_cluster_links_all_similar_pairs_of_a_band(spark, cell, rounds):
+@pytest.mark.parametrize(("cell", "rounds", "thin"), [(10**6, 1, False), (200, 1, True), (300, 2, False), (10**6, 2, True)])
+def test_cluster_links_all_similar_pairs_of_a_band(spark, cell, rounds, thin):
     rng = random.Random(1)
     sets = {}
     for _ in range(6):
@@ -334,7 +334,7 @@ def test_cluster_links_all_similar_pairs_of_a_band(spark, cell, rounds):
             if i == j and a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
                 root[find(a)] = find(b)
     elems = spark.createDataFrame([(k, np.array(sorted(x), np.uint64).tobytes()) for k, x in sets.items()], "key long, elems binary")
-    got = {r.key: r.root for r in cluster.classes(spark.createDataFrame(bands, "key long, band long"), lambda sieve: elems, 0.8, "t", cell, rounds).collect()}
+    got = {r.key: r.root for r in cluster.classes(spark.createDataFrame(bands, "key long, band long"), lambda sieve: elems, 0.8, "t", cell, rounds, thin=thin).collect()}
     group = lambda of: {frozenset(k for k in sets if of(k) == r) for r in map(of, sets)}
     assert group(find) == group(lambda k: got.get(k, k))
 
