@@ -136,28 +136,38 @@ def name_tokens(c: Column | str) -> Column:
     return F.transform(tokens, lambda t: legal_word(F.when(digit_lookalikes(t) == "et", F.lit("and")).otherwise(digit_lookalikes(t))))
 
 
-def typo_of_legal(t: Column) -> Column:
-    """A misspelt legal form: the sound of one, and within a quarter of its letters."""
-    own, out = skeleton(t), F.lit(False)
+def typo_of_legal(t: Column, own: Column | None = None) -> Column:
+    """A misspelt legal form: the sound (``own``) of one, and within a quarter of its letters."""
+    own, out = skeleton(t) if own is None else own, F.lit(False)
     for w in LEGAL_SOUNDS:
         if len(w) >= 5:
             out = out | ((own == sound(w)) & (F.levenshtein(t, F.lit(w)) <= max(1, len(w) // 4)))
     return out
 
 
-def is_legal(t: Column, script: Column) -> Column:
+def sounded(tokens: Column) -> Column:
+    """Tokens with their skeletons."""
+    return F.transform(tokens, lambda t: F.struct(t.alias("t"), skeleton(t).alias("s")))
+
+
+def is_legal(x: Column, script: Column) -> Column:
+    """Whether a token with its skeleton is a legal form."""
     sounds = sorted({s for s in map(sound, LEGAL_SOUNDS) if len(s) >= 3})
-    return t.isin(*sorted(set(LEGAL_FORMS.values()))) | (skeleton(t).isin(*sounds) & (script | typo_of_legal(t)))
+    return x.t.isin(*sorted(set(LEGAL_FORMS.values()))) | (x.s.isin(*sounds) & (script | typo_of_legal(x.t, x.s)))
+
+
+def without_legal(tokens: Column, script: Column) -> Column:
+    """Sounded tokens that are no legal forms."""
+    return F.filter(tokens, lambda x: ~is_legal(x, script))
 
 
-def core(tokens: Column, script: Column) -> Column:
-    """Tokens without legal forms; never empty where there are tokens."""
-    kept = F.filter(tokens, lambda t: ~is_legal(t, script))
+def core(tokens: Column, kept: Column, script: Column) -> Column:
+    """Words of a name without legal forms; never empty where there are tokens.  ``kept`` is ``without_legal(tokens)``."""
     last, before = F.try_element_at(kept, F.lit(-1)), F.try_element_at(kept, F.lit(-2))
-    tail = script & (F.size(kept) > 2) & (skeleton(before) == "br") & skeleton(last).isin("l", "lmd") & (F.length(last) <= 4)
-    kept = F.when(tail, F.slice(kept, F.lit(1), F.size(kept) - 2)).otherwise(kept)
-    plain = F.filter(tokens, lambda t: ~t.isin(*sorted(set(LEGAL_FORMS.values()))))
-    return F.when(F.size(kept) > 0, kept).when(F.size(plain) > 0, plain).otherwise(tokens)
+    tail = script & (F.size(kept) > 2) & (before.s == "br") & last.s.isin("l", "lmd") & (F.length(last.t) <= 4)
+    plain = F.filter(tokens, lambda x: ~x.t.isin(*sorted(set(LEGAL_FORMS.values()))))
+    out = F.when(tail, F.slice(kept, F.lit(1), F.size(kept) - 2)).when(F.size(kept) > 0, kept).when(F.size(plain) > 0, plain).otherwise(tokens)
+    return F.transform(out, lambda x: x.t)
 
 
 # ---------------------------------------------------------------- addresses

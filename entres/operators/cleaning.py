@@ -13,6 +13,8 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from entres.functions import text as T
 from entres.functions import unicode as U
 
+from .steps import step
+
 NAME_COLUMNS = [
     "name_translit", "name_core", "name_tokens_sorted", "has_legal_suffix", "name_token_count", "name_compact", "name_char_len", "name_first_token", "name_last_token", "name_initials",
     "name_has_digit", "name_numeric_tokens", "name_alnum_tokens", "name_skeleton", "has_alias", "name_primary", "name_alias",
@@ -57,12 +59,11 @@ def clean_names(df: DataFrame, name: str = "business_name") -> DataFrame:
     """``df`` with the 17 name columns; a null name is empty.  Steps are projections, so that no expression is computed twice."""
     keep = [c for c in df.columns if c not in NAME_COLUMNS]
     x = df.select(*keep, U.repaired(F.coalesce(F.col(name), F.lit(""))).alias("__t"))
-    x = x.withColumn("__t", F.regexp_replace(F.split_part("__t", F.lit("|"), F.lit(1)), r"^[\s\-]+", ""))
-    x = x.withColumn("__script", T.non_latin("__t"))
-    x = x.withColumn("__t", F.when(T.non_ascii("__t"), F.col("__t")).otherwise(T.case_lookalikes("__t")))
-    x = x.withColumn("__t", T.alias_marks(T.web_names("__t")))
-    x = x.withColumn("__t", U.romanised(F.col("__t")))
-    x = x.withColumn("__all", T.name_tokens(T.apostrophes("__t"))).withColumn("__all", T.collapsed(F.col("__all")))
+    x = step(x, __t=F.regexp_replace(F.split_part("__t", F.lit("|"), F.lit(1)), r"^[\s\-]+", ""))
+    x = step(x, __script=T.non_latin("__t"), __t=F.when(T.non_ascii("__t"), F.col("__t")).otherwise(T.case_lookalikes("__t")))
+    x = x.withColumn("__t", U.romanised(T.alias_marks(T.web_names("__t"))))
+    x = step(x, __all=T.name_tokens(T.apostrophes("__t")))
+    x = step(x, __all=T.collapsed(F.col("__all")))
     # the first alias mark with words on both sides: from, to
     n, at = F.size("__all"), lambda i: F.get(F.col("__all"), i)
 
@@ -72,17 +73,17 @@ def clean_names(df: DataFrame, name: str = "business_name") -> DataFrame:
         return F.struct(i.alias("a"), F.when((i > 0) & (to < n), to).alias("b"))
 
     marks = F.filter(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), mark), lambda m: m.b.isNotNull())
-    x = x.withColumn("__m", F.get(marks, F.lit(0)))
+    x = step(x, __m=F.get(marks, F.lit(0)))
     single = lambda t: t.isin("dba", "aka", "fka")
     inside = lambda i: F.coalesce((i >= F.col("__m.a")) & (i < F.col("__m.b")), F.lit(False))
-    x = x.select(
-        *keep, "__script", "__all", "__m",
-        F.filter("__all", lambda t, i: ~single(t) & ~inside(i)).alias("__body"),
-        F.filter("__all", lambda t, i: ~single(t) & F.coalesce(i < F.col("__m.a"), F.lit(False))).alias("__first"),
-        F.filter("__all", lambda t, i: ~single(t) & F.coalesce(i >= F.col("__m.b"), F.lit(False))).alias("__second"),
+    script, parts = F.col("__script"), ("__body", "__first", "__second")
+    x = step(
+        x, __body=F.filter("__all", lambda t, i: ~single(t) & ~inside(i)), __first=F.filter("__all", lambda t, i: ~single(t) & F.coalesce(i < F.col("__m.a"), F.lit(False))),
+        __second=F.filter("__all", lambda t, i: ~single(t) & F.coalesce(i >= F.col("__m.b"), F.lit(False))),
     )
-    script = F.col("__script")
-    x = x.select(*keep, "__body", T.core(F.col("__body"), script).alias("__core"), T.core(F.col("__first"), script).alias("__first"), T.core(F.col("__second"), script).alias("__second"))
+    x = step(x, **{f"{c}_s": T.sounded(F.col(c)) for c in parts})
+    x = step(x, **{f"{c}_k": T.without_legal(F.col(f"{c}_s"), script) for c in parts})
+    x = step(x, __core=T.core(F.col("__body_s"), F.col("__body_k"), script), **{c: T.core(F.col(f"{c}_s"), F.col(f"{c}_k"), script) for c in parts[1:]})
     body, core = F.col("__body"), F.col("__core")
     alias = F.size("__second") > 0
     compact = T.joined(core, "")
@@ -170,14 +171,15 @@ def clean_addresses(df: DataFrame, address: str = "business_address") -> DataFra
     flags = [f"has_{c}" for c in ("house_number", "unit_number", "floor_number", "plot_number", "sector", "street_name", "landmark")]
     keep = [c for c in df.columns if c not in {*ADDRESS_COLUMNS, *flags, "is_missing_address", "has_postal_code"}]
     x = df.select(*keep, U.repaired(F.coalesce(F.col(address), F.lit(""))).alias("__t"))
-    x = x.withColumn("__t", F.regexp_replace(F.regexp_replace("__t", r"\b[nN]\s*[°º]\s*", " no "), "[°º]", " "))
-    x = x.withColumn("__masks", T.masked_numbers("__t")).withColumn("__t", F.replace("__t", F.lit("#"), F.lit(" ")))
-    x = x.withColumn("address_pin", T.postal_code("__t")).withColumn("__t", U.romanised(F.col("__t")))
-    x = x.withColumn("__t", T.address_text(T.apostrophes("__t")))
+    x = step(x, __t=F.regexp_replace(F.regexp_replace("__t", r"\b[nN]\s*[°º]\s*", " no "), "[°º]", " "))
+    x = step(x, __masks=T.masked_numbers("__t"), __t=F.replace("__t", F.lit("#"), F.lit(" ")))
+    x = step(x, address_pin=T.postal_code("__t")).withColumn("__t", U.romanised(F.col("__t")))
+    x = step(x, __t=T.address_text(T.apostrophes("__t")))
     x = x.withColumn("__t", T.joined(F.filter(T.words("__t"), lambda t: ~t.isin(*JUNK_WORDS))))
     x = x.withColumn("__r", region_codes("__t")).withColumn("has_state_token", F.col("__r.found"))
-    x = x.withColumn("__w", F.transform(T.words("__r.text"), lambda t: T.looked_up(t, ABBREVIATION_OF)))
-    x = x.withColumn("__w", T.collapsed(F.col("__w"))).withColumn("__w", F.concat("__w", F.filter("__masks", lambda m: ~F.array_contains(F.col("__w"), m))))
+    x = step(x, __w=F.transform(T.words("__r.text"), lambda t: T.looked_up(t, ABBREVIATION_OF)))
+    x = step(x, __w=T.collapsed(F.col("__w")))
+    x = step(x, __w=F.concat("__w", F.filter("__masks", lambda m: ~F.array_contains(F.col("__w"), m))))
     x = x.withColumn("address_clean", T.joined("__w")).withColumn("__c", address_components("address_clean"))
     digits = F.array_sort(F.array_distinct(F.filter("__w", T.is_digits)))
     cols = {
