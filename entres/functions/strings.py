@@ -36,16 +36,22 @@ def winkler(a: str, b: str, weight: float = 0.1) -> float:
     return s + same * weight * (1 - s) if s > 0.7 else s
 
 
+def common(a: str, b: str) -> int:
+    """Length of the longest common subsequence; all positions of ``a`` are bits of one number, so a character of ``b`` is one step."""
+    place: dict[str, int] = {}
+    for i, c in enumerate(a):
+        place[c] = place.get(c, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    open_ = every
+    for c in b:
+        hit = open_ & place.get(c, 0)
+        open_ = ((open_ + hit) | (open_ - hit)) & every
+    return len(a) - open_.bit_count()
+
+
 def indel_ratio(a: str, b: str) -> float:
-    """1 - (insertions and deletions) / (total length), by the longest common subsequence."""
-    if not a and not b:
-        return 1.0
-    row = [0] * (len(b) + 1)
-    for c in a:
-        diag = 0
-        for j, d in enumerate(b, 1):
-            diag, row[j] = row[j], diag + 1 if c == d else max(row[j], row[j - 1])
-    return 2.0 * row[-1] / (len(a) + len(b))
+    """1 - (insertions and deletions) / (total length)."""
+    return 2.0 * common(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
 def token_sort(a: str, b: str) -> float:
@@ -62,11 +68,16 @@ def token_set(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """Best ratio of the shorter text against windows of the longer one."""
+    """Best ratio of the shorter text against windows of the longer one, shorter windows at its two ends included."""
     s, t = sorted((a, b), key=len)
     if not s:
         return 1.0 if not t else 0.0
-    return max(indel_ratio(s, t[i : i + len(s)]) for i in range(len(t) - len(s) + 1))
+    n = len(s)
+    windows = {t[i : i + n] for i in range(len(t) - n + 1)} | {t[:i] for i in range(1, n)} | {t[-i:] for i in range(1, n)}
+    if len(s) == len(t):
+        windows |= {s}
+        return max(max(indel_ratio(s, w) for w in windows - {s}), indel_ratio(s, t), max((indel_ratio(t, w) for w in {s[:i] for i in range(1, n)} | {s[-i:] for i in range(1, n)}), default=0.0)) if windows - {s} else indel_ratio(s, t)
+    return max(indel_ratio(s, w) for w in windows)
 
 
 def _udf(fn):
@@ -89,3 +100,23 @@ def _udf(fn):
 
 
 jaro_winkler_udf, token_sort_udf, token_set_udf, partial_udf = (_udf(f) for f in (winkler, token_sort, token_set, partial))
+
+
+def best_udf(name: str):
+    """The best similarity over all combinations of three left and three right texts; nulls are left out, null if a side has none."""
+    fn = {"token_set": token_set, "winkler": winkler}[name]
+
+    @pandas_udf(DoubleType())
+    def run(a: pd.Series, b: pd.Series, c: pd.Series, x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
+        known: dict = {}
+        out = []
+        for row in zip(a, b, c, x, y, z, strict=True):
+            left, right = {t for t in row[:3] if t is not None}, {t for t in row[3:] if t is not None}
+            for p in left:
+                for q in right:
+                    if (p, q) not in known:
+                        known[p, q] = fn(p, q)
+            out.append(max((known[p, q] for p in left for q in right), default=None))
+        return pd.Series(out, dtype="float64")
+
+    return run
