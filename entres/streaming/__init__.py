@@ -1 +1 @@
-
+"""Arriving candidates against a standing reference side."""
