@@ -1,6 +1,6 @@
-"""Diagnostic blockers, key families, the capped key index and pair generation.
+"""The capped key index and pair generation on raw words, as SQL that both engines read; ``index`` has the whole operator.
 
-A blocker is a list of (country, source, entity_id, key) rows.  Keys are kept when both sides have
+Keys are kept when both sides have
 them and their candidate side is no larger than the block cap; a capped key never reaches the pair
 join, which is what bounds the join on skewed keys.
 """
@@ -8,53 +8,6 @@ join, which is what bounds the join on skewed keys.
 _NAME = "lower(business_name)"
 _ADDR = "lower(business_address)"
 _FLAT = f"replace({_NAME}, ' ', '')"
-_SKEL = "regexp_replace(translate(translate({x}, 'aeiouhy', ''), 'vwpfcszjxtdkgq', 'bbbbsssssddggg'), '[^a-z0-9]', ''{g})"
-
-
-def _skel(x: str, g: str) -> str:
-    # letters that sound alike share one letter, vowels and h are dropped: fixed values
-    return f"regexp_replace(translate({x}, 'bvwpfcszjxdtkgqaeiouhy', 'bbbbbsssssddggg'), '[^a-z0-9]', ''{g})"
-
-
-#: blocker: (key source, block cap)
-ROW_KEYS = {
-    "k1_name_exact": (_NAME, 50000),
-    "k3_name_flat": (_FLAT, 50000),
-    "k6_skeleton_exact": ("SKEL(" + _FLAT + ")", 50000),
-    "k16_anchor": (f"concat(substr({_FLAT}, 1, 4), '|', substr({_ADDR}, 1, 3))", 50000),
-    "k11_address": (_ADDR, 50000),
-    "b9_name_prefix": (f"CASE WHEN length({_FLAT}) > 10 THEN substr({_FLAT}, 1, 10) END", 3000),
-}
-TOKEN_KEYS = {"k4_name_token": ("tok", 1, 80000), "k5_name_ngram": ("gram", 1, 60000), "k13_address_token": ("atok", 1, 60000), "k8_long_token": ("tok", 4, 80000), "b11_long_name_token": ("tok", 6, 1500)}
-
-
-def _expand(sql: str, g: str) -> str:
-    out = sql
-    while "SKEL(" in out:
-        a = out.index("SKEL(")
-        depth, b = 1, a + 5
-        while depth:
-            depth += {"(": 1, ")": -1}.get(out[b], 0)
-            b += 1
-        out = out[:a] + _skel(out[a + 5 : b - 1], g) + out[b:]
-    return out
-
-
-def _report(keys: str, cap: int) -> str:
-    """Keys, postings, pairs and recall of exact text copies of a blocker."""
-    return f"""WITH k AS ({keys}), n AS (SELECT country, key, sum(CASE WHEN source='S1' THEN 1 ELSE 0 END) AS n1, sum(CASE WHEN source<>'S1' THEN 1 ELSE 0 END) AS n2 FROM k GROUP BY country, key),
- ok AS (SELECT * FROM n WHERE n1 > 0 AND n2 BETWEEN 1 AND {cap})
- SELECT country, count(*) AS keys, cast(sum(n1 + n2) AS bigint) AS postings, cast(sum(n1 * n2) AS bigint) AS pairs, cast(max(n2) AS bigint) AS largest FROM ok GROUP BY country"""
-
-
-TWO = {}
-for _name, (_expr, _cap) in ROW_KEYS.items():
-    _sql = f"SELECT country, source, entity_id, {_expr} AS key FROM recs WHERE {_expr} IS NOT NULL AND {_expr} <> ''"
-    TWO[_name] = (_report(_expand(_sql, ""), _cap), _report(_expand(_sql, ", 'g'"), _cap))
-for _name, (_view, _least, _cap) in TOKEN_KEYS.items():
-    _sql = _report(f"SELECT country, source, entity_id, token AS key FROM {_view} WHERE length(token) >= {_least}", _cap)
-    TWO[_name] = (_sql, _sql)
-
 #: Families of the pair index: (bit, S1 cap, candidate cap, weight, key rows).
 _FAMILIES = [
     (0, 30, 3000, 2.0, f"SELECT country, source, entity_id, {_FLAT} AS key FROM recs WHERE {_FLAT} <> ''"),
@@ -77,9 +30,6 @@ SQL = {
     "b27_pair_generation": f"WITH {_PAIRGEN} SELECT s1, cand, round(score, 6) AS score, n_keys, cast(mask AS bigint) AS evidence_mask, cast(bit_count(cast(mask AS bigint)) AS bigint) AS n_evidence FROM gen",
     "b33_family_counters": f"WITH {_PAIRGEN}, f AS (SELECT 0 AS b UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) SELECT b AS family, cast(sum(CASE WHEN (mask & (cast(1 AS bigint) << b)) <> 0 THEN 1 ELSE 0 END) AS bigint) AS carrying, cast(sum(CASE WHEN mask = (cast(1 AS bigint) << b) THEN 1 ELSE 0 END) AS bigint) AS alone FROM gen CROSS JOIN f GROUP BY b",
     "c13_output_row": f"WITH {_PAIRGEN} SELECT s1, cand, round(score, 3) AS score, n_keys, cast(row_number() OVER (PARTITION BY cand ORDER BY round(score, 6) DESC, s1) - 1 AS bigint) AS cand_rank FROM gen",
-    "b30_noise_words": """WITH n AS (SELECT country, count(DISTINCT CASE WHEN source='S1' THEN entity_id END) AS n1, count(DISTINCT CASE WHEN source<>'S1' THEN entity_id END) AS n2 FROM recs GROUP BY country),
- d AS (SELECT country, token, sum(CASE WHEN source='S1' THEN 1 ELSE 0 END) AS ds, sum(CASE WHEN source<>'S1' THEN 1 ELSE 0 END) AS dc FROM tok GROUP BY country, token)
- SELECT d.country, token FROM d JOIN n ON d.country=n.country WHERE length(token) <= 3 AND dc >= 10 AND dc*n1 >= 2*(ds+1)*n2""",
     "b31_idf_block": """WITH n AS (SELECT country, count(*) AS n FROM recs WHERE source='S1' GROUP BY country), d AS (SELECT country, token, count(*) AS df FROM tok WHERE source='S1' GROUP BY country, token)
  SELECT d.country, token, round(ln((n+1)/cast(df+1 AS double))/ln(n+1), 9) AS idf FROM d JOIN n ON d.country=n.country""",
     "f13_idf_feat": """WITH n AS (SELECT country, count(*) AS n FROM recs GROUP BY country), d AS (SELECT country, token, count(*) AS df FROM tok GROUP BY country, token)

@@ -30,7 +30,6 @@ SQL = {
     "l16_loss_report": f"""WITH {_RULE}, {_PER_S1} SELECT coalesce(bucket, 'ALL') AS bucket, count(*) AS n, round(sum(loss), 6) AS loss FROM (SELECT CASE WHEN nt=0 THEN '0' WHEN nt=1 THEN '1' WHEN nt<=3 THEN '2-3' ELSE '4+' END AS bucket, 1 - {_F} AS loss FROM per) t GROUP BY ROLLUP (bucket)""",
     "l18_miss_breakdown": f"""WITH {_RULE}, r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) - 1 AS rk, max(p) OVER (PARTITION BY cand) AS best FROM pred)
  SELECT CASE WHEN p < 0.1 THEN 'a' WHEN p < 0.3 THEN 'b' WHEN p < 0.5 THEN 'c' WHEN p < 0.67 THEN 'd' ELSE 'e' END AS band, CASE WHEN rk >= 2 THEN 1 ELSE 0 END AS third_or_lower, CASE WHEN p < best THEN 1 ELSE 0 END AS prefers_other, count(*) AS n FROM r WHERE label = 1 AND y = 0 GROUP BY 1, 2, 3""",
-    "c8_fallback_p": "SELECT s1, cand, round(0.3 * p / nullif(max(p) OVER (PARTITION BY cand), 0) + 0.2 * least(greatest(p, 0), 1) + 0.3 * p, 9) AS p FROM pairs",
     "c9_context": """WITH q AS (SELECT *, least(greatest(p, 1e-6), 1 - 1e-6) AS pc FROM pairs), l AS (SELECT *, ln(pc/(1-pc)) AS lp FROM q),
  r AS (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY p DESC, s1) - 1 AS rc, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) - 1 AS rs, max(lp) OVER (PARTITION BY cand) AS bc, max(lp) OVER (PARTITION BY s1) AS bs, sum(p) OVER (PARTITION BY cand) AS sc, sum(p) OVER (PARTITION BY s1) AS ss FROM l)
  SELECT s1, cand, round(lp, 7) AS lp, cast(least(rc, 50) AS bigint) AS rank_c, cast(least(rs, 50) AS bigint) AS rank_s, round(lp - bc, 7) AS gap_c, round(lp - bs, 7) AS gap_s, round(p / nullif(sc, 0), 7) AS share_c, round(ss - p, 7) AS other_s, cast(sum(CASE WHEN rc = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY s1) AS bigint) AS nbest_s FROM r""",

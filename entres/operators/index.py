@@ -296,7 +296,8 @@ def blocker_keys(records: DataFrame, blockers: list[str] | None = None) -> DataF
         "addr_alnum": F.filter(aw, lambda x: x.rlike("[0-9]") & x.rlike("[^0-9]") & (F.length(x) >= 2)), "anchor": one(F.when((F.length(head) == 4) & (F.length("pin") >= 3), F.concat(head, F.lit("|"), F.substr("pin", F.lit(1), F.lit(3))))),
     }
     wanted = blockers or list(BLOCKERS)
-    rows = r.select(*ME, F.explode(F.concat(*[F.transform(F.array_distinct(k), _named(b)) for b, k in keys.items() if b in wanted])).alias("k")).select("k.blocker", *ME, "k.key")
+    none = F.array().cast("array<struct<blocker:string,key:string>>")
+    rows = r.select(*ME, F.explode(F.concat(none, *[F.transform(F.array_distinct(k), _named(b)) for b, k in keys.items() if b in wanted])).alias("k")).select("k.blocker", *ME, "k.key")
     if "anchor2" in wanted:
         rare = []
         for out, arr in (("sk", skel), ("ad", aw)):

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from entres.functions import strings
 from entres.sources import fixtures
 
-from .blocking import _skel
-
 #: Record pairs in the same country whose names share their first word.
 _CAND = "SELECT a.entity_id AS s1, b.entity_id AS cand, regexp_replace(lower(a.business_name), '[^a-z0-9 ]', ''@G) AS na, regexp_replace(lower(b.business_name), '[^a-z0-9 ]', ''@G) AS nb, regexp_replace(lower(a.business_address), '[^a-z0-9 ]', ''@G) AS aa, regexp_replace(lower(b.business_address), '[^a-z0-9 ]', ''@G) AS ab FROM recs a JOIN recs b ON a.country=b.country AND split_part(a.business_name,' ',1) = split_part(b.business_name,' ',1) WHERE a.source='S1' AND b.source<>'S1'"
 
@@ -18,38 +16,14 @@ def _g(sql: str) -> tuple[str, str]:
     return sql.replace("@G", ""), sql.replace("@G", ", 'g'")
 
 
-_PHON = [("ph", "f"), ("[cq]", "k"), ("x", "ks"), ("z", "s"), ("w", "v"), ("y", "i"), ("m", "n")]
-_phon = "lower(token)"
-for _a, _b in _PHON:
-    _phon = f"regexp_replace({_phon}, '{_a}', '{_b}'@G)"
-_phon = f"concat(substr({_phon}, 1, 1), regexp_replace(substr({_phon}, 2), '[aeiouh]', ''@G))"
-
 TWO = {
-    "n6_skeleton": (f"SELECT DISTINCT token, {_skel('token', '')} AS skeleton FROM tok", f"SELECT DISTINCT token, {_skel('token', chr(44) + chr(32) + chr(39) + 'g' + chr(39))} AS skeleton FROM tok"),
-    "n11_web_names": _g(r"SELECT rid, regexp_replace(regexp_replace(host, '[.](co[.]in|com|net|org|in|fr|co)$', 'com'), '[.]', ''@G) AS name FROM webs"),
-    "n16_name_shape": _g("SELECT entity_id, regexp_replace(lower(business_name), ' ', ''@G) AS compact, cast(length(regexp_replace(lower(business_name), ' ', ''@G)) AS bigint) AS chars, split_part(lower(business_name), ' ', 1) AS first_token, regexp_replace(lower(business_name), '[^0-9]', ''@G) <> '' AS has_digit FROM recs"),
-    "n4_non_ascii": _g("SELECT country, cast(sum(CASE WHEN regexp_replace(business_name, '[^\\x00-\\x7F]', ''@G) <> business_name THEN 1 ELSE 0 END) AS bigint) AS n FROM recs GROUP BY country"),
-    "d5_rewrites": _g("SELECT rid, regexp_replace(regexp_replace(regexp_replace(lower(business_address), '[#,]', ' '@G), '([0-9]+)(st|nd|rd|th) ', '@1 '@G), ' 0+([1-9])', ' @1'@G) AS address FROM addrs"),
-    "d3_postal_code": _g("SELECT rid, regexp_extract(business_address, '[A-Za-z].* ([0-9]{5,6})$', 1) AS pin FROM addrs"),
-    "d13_first_number": _g("SELECT rid, regexp_extract(regexp_replace(business_address, '[#,]', ' '@G), '([0-9]+)', 1) AS first_num FROM addrs"),
-    "d12_slot_norm": _g("SELECT rid, regexp_replace(regexp_replace(lower(substr(business_address, 1, 3)), '[^a-z0-9]', ''@G), '^0+', '') AS slot FROM addrs"),
-    "d1_abbreviations": _g("SELECT rid, regexp_replace(regexp_replace(lower(business_address), ' road', ' rd'@G), ' street', ' st'@G) AS address FROM addrs"),
-    "x11_phonetic": _g(f"SELECT DISTINCT token, {_phon} AS phon FROM tok"),
     "x6_truncate": _g("SELECT DISTINCT token, substr(token, 1, 3) AS cut FROM tok"),
     "x15_ngrams": _g("SELECT entity_id, count(*) AS n FROM gram GROUP BY entity_id"),
 }
 SQL = {}
 TWO |= {
     "m1_levenshtein": _g(f"WITH c AS ({_CAND}) SELECT s1, cand, round(1 - levenshtein(na, nb)/cast(greatest(length(na), length(nb), 1) AS double), 9) AS sim FROM c"),
-    "f1_name_exact": _g(f"WITH c AS ({_CAND}) SELECT s1, cand, CASE WHEN na = nb THEN 1 ELSE 0 END AS name_eq, round(least(length(na), length(nb))/cast(greatest(length(na), length(nb), 1) AS double), 9) AS len_ratio, CASE WHEN split_part(na,' ',2) = split_part(nb,' ',2) THEN 1 ELSE 0 END AS second_eq FROM c"),
-    "f5_address": _g(f"WITH c AS ({_CAND}) SELECT s1, cand, CASE WHEN aa = '' THEN 1 ELSE 0 END AS missing_s1, CASE WHEN ab = '' THEN 1 ELSE 0 END AS missing_cand, CASE WHEN aa <> '' AND ab <> '' THEN round(1 - levenshtein(aa, ab)/cast(greatest(length(aa), length(ab)) AS double), 9) END AS addr_lev FROM c"),
-    "f9_context": _g(f"WITH c AS ({_CAND}) SELECT s1, cand, count(*) OVER (PARTITION BY s1) AS s1_n_cand, count(*) OVER (PARTITION BY cand) AS cand_n_s1, count(*) OVER (PARTITION BY s1, nb) - 1 AS same_name FROM c"),
 }
-for _name in ("d5_rewrites",):
-    _s, _d = TWO[_name]
-    TWO[_name] = (_s.replace("@1", "$1"), _d.replace("@1", r"\1"))
-_s, _d = TWO["n4_non_ascii"]
-TWO["n4_non_ascii"] = (_s.replace("\\x", "\\\\x"), _d)
 
 #: Pairs from name words that no more than 15 S1 and 1500 candidates of a country have, and all words each pair shares.
 #: The caps bound the join of a frequent word; similarities are then taken over all words of the pair.

@@ -145,6 +145,8 @@ QUERIES = {
     **{f"b{i}_{f}": _family(i - 1) for i, f in enumerate(index.FAMILY, 1)},
     "b27_all_families": lambda s, d: generated(s, d).select("s1", "cand", F.round("score", 6).alias("score"), "n_keys", "evidence_mask", "n_evidence"),
     "b28_affordable_keys": lambda s, d: index.affordable(index.capped(index.family_keys(clean(s, d))), 2000).groupBy("family").agg(F.count(F.lit(1)).alias("keys")),
+    "b30_noise": lambda s, d: index.noise_words(index.frequencies(_tokens(s, d)), index.sizes(_sided(s, d))),
+    "w8_collapsed": lambda s, d: _view("recs")(s, d).select("entity_id", T.joined(T.collapsed(T.words(F.lower("business_address")))).alias("words")),
     "b34_legal_vocabulary": lambda s, d: index.legal_vocabulary(clean(s, d), 1),
     "c1_pre_features": lambda s, d: pre(s, d).select("s1", "cand", *[F.round(f, 6).alias(f) for f in scoring.PRE_FEATURES]),
     "c3_pre_score": lambda s, d: pre(s, d).select("s1", "cand", F.round("pre", 6).alias("pre")),
@@ -189,6 +191,15 @@ QUERIES = {
 }
 
 
+def _sided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _view("recs")(spark, sf_dir)
+    return r.select("country", F.when(F.col("source") == "S1", "s").otherwise("c").alias("side"), F.col("entity_id").alias("id"), F.lower("business_name").alias("name"))
+
+
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sided(spark, sf_dir).select(*index.ME, F.explode(T.words("name")).alias("token"))
+
+
 def _n1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(spark, sf_dir).groupBy("country").agg(F.countDistinct("s1").alias("n1"))
 
@@ -197,3 +208,60 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = clean(spark, sf_dir)
     g = generated(spark, sf_dir).select("s1", "cand")
     return g.join(r.select(F.col("entity_id").alias("s1"), F.col("name_core").alias("na")), "s1").join(r.select(F.col("entity_id").alias("cand"), F.col("name_core").alias("nb")), "cand")
+
+
+#: DuckDB SQL for the same rows, written from the definitions and not from the expressions above.
+_BAR = "CASE WHEN country = '1' THEN 0.8 WHEN rk = 0 THEN 0.5 WHEN rk = 1 THEN 0.6 ELSE 0.67 END"
+_DECIDED = f"""b AS (SELECT *, max(p) OVER (PARTITION BY cand) AS best FROM pairs), k AS (SELECT *, p >= (CASE WHEN country = '1' THEN 1.0 ELSE 0.9 END) * best - 1e-12 AS ok FROM b),
+ r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY ok DESC, p DESC, cand) - 1 AS rk FROM k), pred AS (SELECT *, ok AND p >= {_BAR} AS y FROM r)"""
+_UNIVERSE = """u0 AS (SELECT s1, sum(label) AS n_true, min(country) AS country FROM pairs GROUP BY s1), u AS (SELECT * FROM u0 UNION ALL SELECT -s1, s1 % 3, country FROM u0 WHERE s1 % 100 = 1)"""
+_SCORED = """g AS (SELECT s1, count_if(y) AS np, sum(CASE WHEN y THEN label ELSE 0 END) AS tp, sum(label) AS nf FROM pred GROUP BY s1),
+ per AS (SELECT u.s1, n_true, coalesce(np, 0) AS np, coalesce(tp, 0) AS tp, coalesce(nf, 0) AS nf, g.s1 IS NOT NULL AS has FROM u LEFT JOIN g ON u.s1 = g.s1),
+ f AS (SELECT *, CASE WHEN n_true = 0 THEN CASE WHEN np = 0 THEN 1.0 ELSE 0.0 END WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp/np) * (tp/n_true) / (0.25 * tp/np + tp/n_true) END AS f05 FROM per)"""
+_SK = "regexp_replace(translate(regexp_replace(token, '[aeiouhy]', '', 'g'), 'bvwpfcszjxtdkgqmnrl', 'bbbbbsssssddkkkmnrl'), '[^bsdkmnrl0-9]', '', 'g')"
+_LEGAL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.LEGAL_FORMS.items())
+#: One step of the feature phonetics after another; what looks ahead in Spark takes the next letter along here, twice where two can touch.
+_PHON_STEPS = [("[^a-z]", ""), ("ph", "f"), ("([b-df-hj-np-tv-z])h+", "\\1"), ("c([eiy])", "s\\1"), ("x", "ks")]
+_ph = "token"
+for _a, _b in _PHON_STEPS:
+    _ph = f"regexp_replace({_ph}, '{_a}', '{_b}', 'g')"
+_ph = f"translate({_ph}, 'cqzwy', 'kksvi')"
+for _ in range(2):
+    _ph = f"regexp_replace({_ph}, 'm([cdfghjklnqrstwxyz])', 'n\\1', 'g')"
+_PHON_SQL = f"WITH a AS (SELECT DISTINCT token FROM tok), b AS (SELECT token, {_ph} AS x FROM a), c AS (SELECT token, concat(regexp_replace(substr(x, 1, 1), '[aeiou]', 'a'), regexp_replace(substr(x, 2), '[aeiou]', '', 'g')) AS x FROM b) SELECT token, {{}} AS phon FROM c"
+_dd = "x"
+for _c in "abcdefghijklmnopqrstuvwxyz":
+    _dd = f"regexp_replace({_dd}, '{_c}+', '{_c}', 'g')"
+_CTX = """q AS (SELECT s1, cand, p, ln(greatest(least(p, 1 - 1e-6), 1e-6) / (1 - greatest(least(p, 1 - 1e-6), 1e-6))) AS lp FROM pairs),
+ r AS (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY p DESC, s1) - 1 AS rc, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) - 1 AS rs FROM q),
+ t AS (SELECT *, max(p) OVER (PARTITION BY cand) AS bc, max(lp) OVER (PARTITION BY cand) AS lbc, max(lp) OVER (PARTITION BY s1) AS lbs, sum(p) OVER (PARTITION BY cand) AS sc, sum(p) OVER (PARTITION BY s1) AS ss, max(CASE WHEN rc = 1 THEN lp END) OVER (PARTITION BY cand) AS l2 FROM r)"""
+ORACLES = {
+    "n4_non_latin": r"SELECT entity_id, regexp_matches(business_name, '[\x{0370}-\x{10FFFF}]') AND regexp_matches(regexp_replace(business_name, '[\x00-\x{036F}]', '', 'g'), '\pL') AS non_latin FROM recs",
+    "n6_skeleton0": f"SELECT DISTINCT token, {_SK} AS skeleton FROM tok",
+    "n7_legal_forms": f"SELECT DISTINCT token, CASE token {_LEGAL} ELSE token END AS word FROM tok",
+    "n12_digit_lookalikes": "SELECT DISTINCT token, CASE WHEN regexp_matches(token, '[0-9]') AND NOT regexp_matches(token, '^[0-9]+$') AND length(regexp_replace(token, '[0-9]', '', 'g')) >= 3 AND length(regexp_replace(token, '[^0-9]', '', 'g')) <= 2 AND NOT regexp_matches(token, '[0-9][0-9]') AND NOT regexp_matches(token, '^[0-9]+(st|nd|rd|th)$') THEN translate(token, '013456789', 'oleasgtbg') ELSE token END AS word FROM tok",
+    "d14_pin_digits": "SELECT rid, nullif(regexp_extract(business_address, '[A-Za-z].* ([0-9]{5,6})$', 1), '') AS pin FROM addrs",
+    "d3_postal": "SELECT rid, regexp_extract(business_address, '[A-Za-z].* ([0-9]{5,6})$', 1) AS pin FROM addrs",
+    "d4_masks": "SELECT rid, '' AS masks FROM addrs",
+    "d12_slot": "SELECT rid, regexp_replace(lower(regexp_replace(split_part(business_address, ' ', 1), '[^A-Za-z0-9]', '', 'g')), '^0+([0-9])', '\\1') AS slot FROM addrs",
+    "d13_first_numeric_word": "SELECT rid, list_filter(string_split(replace(business_address, '#', ''), ' '), lambda t: regexp_matches(t, '^[0-9]+$'))[1] AS first_num FROM addrs",
+    "x11_phon": _PHON_SQL.format(_dd),
+    "c9_context_features": f"""WITH {_CTX} SELECT s1, cand, round(lp, 6) AS lp, least(rc, 50)::double AS rank_c, (count(*) OVER (PARTITION BY cand))::double AS n_c, round(lbc, 6) AS lp_best_c, round(coalesce(l2, ln(1e-6/(1-1e-6))), 6) AS lp_2nd_c, round(lp - lbc, 6) AS gap_c,
+ round(p/greatest(sc, 1e-6), 6) AS share_c, round(sc, 6) AS sum_c, (sum(CASE WHEN p >= 0.5*bc THEN 1 ELSE 0 END) OVER (PARTITION BY cand))::double AS near_c, least(rs, 50)::double AS rank_s, (count(*) OVER (PARTITION BY s1))::double AS n_s, round(lbs, 6) AS lp_best_s, round(lp - lbs, 6) AS gap_s,
+ round(p/greatest(ss, 1e-6), 6) AS share_s, round(ss, 6) AS sum_s, round(ss - p, 6) AS other_s, (sum(CASE WHEN rc = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY s1))::double AS nbest_s FROM t""",
+    "c12_budget_curve": """WITH n AS (SELECT country, count(DISTINCT s1) AS n1 FROM pairs GROUP BY country), r AS (SELECT country, label, row_number() OVER (PARTITION BY country ORDER BY p DESC, s1, cand) AS rk FROM pairs), g AS (SELECT unnest([0.5, 1.0, 1.5, 2.0, 3.0])::double AS budget)
+ SELECT r.country, budget, sum(CASE WHEN rk <= floor(budget*n1) THEN 1 ELSE 0 END)::bigint AS pairs, sum(CASE WHEN rk <= floor(budget*n1) THEN label ELSE 0 END)::bigint AS hits FROM r JOIN n ON r.country = n.country CROSS JOIN g GROUP BY r.country, budget""",
+    "c12_within_budget": """WITH n AS (SELECT country, count(DISTINCT s1) AS n1 FROM pairs GROUP BY country), r AS (SELECT s1, cand, p, country, row_number() OVER (PARTITION BY country ORDER BY p DESC, s1, cand) AS rk FROM pairs), k AS (SELECT s1, cand, p FROM r JOIN n ON r.country = n.country WHERE rk <= floor(1.5*n1)),
+ c AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) AS a FROM k) SELECT s1, cand FROM c WHERE a <= 100""",
+    "l12_rule_by_country": f"WITH {_DECIDED} SELECT s1, cand FROM pred WHERE y",
+    "l14_macro_f05_universe": f"""WITH {_DECIDED}, {_UNIVERSE}, {_SCORED} SELECT round(avg(f05), 9) AS f05, round(sum(tp)/sum(np), 9) AS precision, round(sum(tp)/sum(n_true), 9) AS recall, round(avg(CASE WHEN n_true > 0 THEN f05 END), 9) AS f05_matched, round(avg(CASE WHEN n_true = 0 THEN f05 END), 9) AS singleton_acc,
+ sum(np)::bigint AS n_pred, sum(tp)::bigint AS tp, count(*) AS n_s1 FROM f""",
+    "l18_misses": f"""WITH {_DECIDED}, m AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, cand) - 1 AS rr, row_number() OVER (PARTITION BY cand ORDER BY p DESC, s1) AS rc FROM pred), t2 AS (SELECT cand, max(CASE WHEN rc = 1 THEN s1 END) AS o1, max(CASE WHEN rc = 2 THEN s1 END) AS o2 FROM m WHERE rc <= 2 GROUP BY cand),
+ x AS (SELECT m.*, CASE WHEN rc = 1 THEN o2 ELSE o1 END AS o FROM m JOIN t2 ON m.cand = t2.cand), z AS (SELECT x.*, w.label = 1 AS also FROM x LEFT JOIN pairs w ON w.s1 = x.o AND w.cand = x.cand WHERE x.label = 1 AND NOT y)
+ SELECT CASE WHEN p <= 0.05 THEN '0-0.05' WHEN p <= 0.2 THEN '0.05-0.2' WHEN p <= 0.4 THEN '0.2-0.4' WHEN p <= 0.6 THEN '0.4-0.6' WHEN p <= 0.8 THEN '0.6-0.8' ELSE '0.8-1' END AS band, least(rr, 5)::int AS rank, p < best - 1e-12 AS prefers_other, p < best - 1e-12 AND coalesce(also, false) AS other_also_true, count(*) AS n FROM z GROUP BY 1, 2, 3, 4""",
+    "b30_noise": """WITH n AS (SELECT country, count(CASE WHEN source='S1' THEN 1 END) AS n1, count(CASE WHEN source<>'S1' THEN 1 END) AS n2 FROM recs GROUP BY country), d AS (SELECT country, token, count(CASE WHEN source='S1' THEN 1 END) AS ds, count(CASE WHEN source<>'S1' THEN 1 END) AS dc FROM tok GROUP BY country, token)
+ SELECT d.country, token FROM d JOIN n ON d.country = n.country WHERE length(token) <= 3 AND dc >= 100 AND dc*n1 >= 10*(ds+1)*n2""",
+    "t3_budget_bins": """WITH n AS (SELECT country, count(DISTINCT s1) AS n1 FROM pairs GROUP BY country), r AS (SELECT s1, cand, country, p, row_number() OVER (PARTITION BY country ORDER BY p DESC, s1, cand) AS rk FROM pairs) SELECT s1, cand, r.country, p FROM r JOIN n ON r.country = n.country WHERE rk <= floor(1.5*n1)""",
+    "a13_auc_bins": """WITH r AS (SELECT country, label, rank() OVER (PARTITION BY country ORDER BY p) + (count(*) OVER (PARTITION BY country, p) - 1)/2.0 AS rk FROM pairs) SELECT country, round((sum(CASE WHEN label = 1 THEN rk END) - sum(label)*(sum(label)+1)/2.0) / (sum(label)*(count(*) - sum(label))), 9) AS auc FROM r GROUP BY country""",
+    "a17_running_bins": "SELECT country, s1, cand, (sum(label) OVER (PARTITION BY country ORDER BY p DESC, s1, cand ROWS UNBOUNDED PRECEDING))::bigint AS hits FROM pairs",
+}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 from entres.operators import aggregates, blocking, decision, ranking, text, tokens
+from entres.plans import linkage
 from entres.sources import fixtures
 
 
@@ -29,3 +30,5 @@ for module in (ranking, aggregates, decision, blocking, text, tokens):
         QUERIES[name] = query
         if duck_sql:
             ORACLE_SQL[name] = fixtures.with_views(duck_sql, fixtures.DUCK)
+QUERIES |= linkage.QUERIES
+ORACLE_SQL |= {name: fixtures.with_views(sql, fixtures.DUCK) for name, sql in linkage.ORACLES.items()}
