@@ -306,8 +306,8 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
     ``bands(key, band)``; ``elements`` makes rows (key, elems), with the elements as bytes of 64-bit hashes, at least of the
     keys that a broadcast :class:`Sieve` has; items without a link are absent.
     Where rows of one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
-    With ``thin`` an item of many bands is compared with its smallest centre first, and with others only where the
-    links found by then do not join them already.
+    With ``thin``, for items of many bands, the centres of half of the bands go first, and an item is compared with those of the other half only
+    where the links found by then do not join them already.
     """
     scratch, links_found, open_ends = [], None, []
     keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
@@ -318,19 +318,19 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
     own = elems.join(wanted.join(leads, "key"), ["key", "lead"]) if leads else elems.join(wanted, "key")
     elems = keep(own.groupBy("key").agg(F.min("elems").alias("elems")).withColumn("size", F.floor(F.octet_length("elems") / 8)), "elements")
     for _ in range(rounds):
-        edges = members.where("key != centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
+        edges = members.where("key != centre").select("band", F.col("key").alias("a"), F.col("centre").alias("b"))
         if thin:
-            edges = keep(edges, "pairs")
-            first = judged(edges.groupBy("a").agg(F.min("b").alias("b")), elems, name, cell)
+            half = F.pmod("band", F.lit(2)) == 0
+            first = judged(edges.where(half).select("a", "b").distinct(), elems, name, cell)
             near = first.where(F.col("j") >= threshold).select("a", "b")
             joined = components(near if links_found is None else links_found.union(near), f"{name}-first")
             root = lambda c: joined.select(F.col("key").alias(c), F.col("root").alias(f"{c}_root"))
-            apart = edges.join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
+            apart = edges.where(~half).select("a", "b").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left").where("coalesce(a_root, a) != coalesce(b_root, b)").select("a", "b")
             second = judged(apart.join(first.select("a", "b"), ["a", "b"], "left_anti"), elems, name, cell)
             seen = keep(first.union(second), "seen")
             drop_scratch(first, second, joined)
         else:
-            seen = judged(edges, elems, name, cell)
+            seen = judged(edges.select("a", "b").distinct(), elems, name, cell)
             scratch.append(seen)
         near = seen.where(F.col("j") >= threshold).select("a", "b")
         links_found = near if links_found is None else links_found.union(near)
