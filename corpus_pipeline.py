@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from entres.llm import decontaminate, minhash, pieces, quality, substring
-from entres.llm.util import table, write_scratch
+from entres.llm.util import drop_scratch, table, write_scratch
 
 STAGES = [
     ("quality", quality.stage),
@@ -26,5 +26,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = write_scratch(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, write_scratch(stage(spark, docs, sf_dir), f"stage-{name}")
+        drop_scratch(before)
     return STAGES[-1][1](spark, docs, sf_dir)
