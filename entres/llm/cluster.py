@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .util import U64, drop_scratch, mix64, write_scratch
 
 #: Elements that one verification task takes from each side.
-CELL = 1_500_000
+CELL = 400_000
 #: Rounds of stars before what is left of a band's items is compared in cells.
 ROUNDS = 2
 #: Pairs of postings that a task holds at once.
