@@ -25,22 +25,23 @@ TWO |= {
     "m1_levenshtein": _g(f"WITH c AS ({_CAND}) SELECT s1, cand, round(1 - levenshtein(na, nb)/cast(greatest(length(na), length(nb), 1) AS double), 9) AS sim FROM c"),
 }
 
-#: Pairs from name words that no more than 15 S1 and 1500 candidates of a country have, and all words each pair shares.
-#: The caps bound the join of a frequent word; similarities are then taken over all words of the pair.
-_SHARED = """k AS (SELECT country, token, sum(CASE WHEN source='S1' THEN 1 ELSE 0 END) AS cs, sum(CASE WHEN source<>'S1' THEN 1 ELSE 0 END) AS cc FROM tok GROUP BY country, token),
- ok AS (SELECT country, token FROM k WHERE cs BETWEEN 1 AND 15 AND cc BETWEEN 1 AND 1500),
- pr AS (SELECT DISTINCT a.country, a.entity_id AS s1, b.entity_id AS cand FROM ok JOIN tok a ON a.country=ok.country AND a.token=ok.token AND a.source='S1' JOIN tok b ON b.country=ok.country AND b.token=ok.token AND b.source<>'S1'),
- sh AS (SELECT pr.country, pr.s1, pr.cand, a.token FROM pr JOIN tok a ON a.entity_id=pr.s1 JOIN tok b ON b.entity_id=pr.cand AND b.token=a.token)"""
+#: Records of one country and name are a class on either side; its smallest id stands for it, and ``m6_name_classes`` has the members.
+#: Pairs are all classes of a country with the same first word, as for ``_CAND``; words are counted over all records.
+_CLASSES = """cls AS (SELECT country, business_name, CASE WHEN source='S1' THEN 1 ELSE 0 END AS side, min(entity_id) AS rep, count(*) AS members FROM recs GROUP BY country, business_name, CASE WHEN source='S1' THEN 1 ELSE 0 END)"""
+_SHARED = f"""k AS (SELECT country, token, count(*) AS df FROM tok GROUP BY country, token), {_CLASSES},
+ ct AS (SELECT cls.country, rep, side, members, split_part(business_name,' ',1) AS head, token FROM cls JOIN tok ON entity_id=rep AND tok.country=cls.country),
+ sh AS (SELECT a.country, a.rep AS s1, b.rep AS cand, a.members AS s1_members, b.members AS cand_members, a.token FROM ct a JOIN ct b ON a.country=b.country AND a.head=b.head AND a.token=b.token WHERE a.side=1 AND b.side=0)"""
 _IDF = """n AS (SELECT country, count(*) AS n FROM recs GROUP BY country),
- d AS (SELECT k.country, token, (ln((1+n)/cast(1+cs+cc AS double))+1)/(ln(1+n)+1) AS w FROM k JOIN n ON n.country=k.country)"""
+ d AS (SELECT k.country, token, (ln((1+n)/cast(1+df AS double))+1)/(ln(1+n)+1) AS w FROM k JOIN n ON n.country=k.country)"""
 
 SQL |= {
-    "m7_jaccard": f"""WITH {_SHARED}, n AS (SELECT entity_id, count(*) AS n FROM tok GROUP BY entity_id), i AS (SELECT s1, cand, count(*) AS shared FROM sh GROUP BY s1, cand)
- SELECT s1, cand, round(shared/cast(x.n+y.n-shared AS double), 9) AS jaccard, round(shared/cast(least(x.n, y.n) AS double), 9) AS overlap FROM i JOIN n x ON x.entity_id=s1 JOIN n y ON y.entity_id=cand""",
-    "m6_tfidf_cosine": f"""WITH {_SHARED}, {_IDF}, l AS (SELECT entity_id, sqrt(sum(w*w)) AS len FROM tok JOIN d ON tok.country=d.country AND tok.token=d.token GROUP BY entity_id),
- dot AS (SELECT s1, cand, sum(w*w) AS dot FROM sh JOIN d ON d.country=sh.country AND d.token=sh.token GROUP BY s1, cand)
- SELECT s1, cand, round(dot/(x.len*y.len), 7) AS cosine FROM dot JOIN l x ON x.entity_id=s1 JOIN l y ON y.entity_id=cand""",
-    "m8_shared_idf": f"""WITH {_SHARED}, {_IDF} SELECT s1, cand, round(max(w), 9) AS shared_max, round(sum(w), 9) AS shared_sum FROM sh JOIN d ON d.country=sh.country AND d.token=sh.token GROUP BY s1, cand""",
+    "m6_name_classes": f"WITH {_CLASSES} SELECT entity_id, rep, members FROM recs JOIN cls ON cls.country=recs.country AND cls.business_name=recs.business_name AND side=CASE WHEN source='S1' THEN 1 ELSE 0 END",
+    "m7_jaccard": f"""WITH {_SHARED}, l AS (SELECT rep, count(*) AS n FROM ct GROUP BY rep), i AS (SELECT s1, cand, max(s1_members) AS s1_members, max(cand_members) AS cand_members, count(*) AS shared FROM sh GROUP BY s1, cand)
+ SELECT s1, cand, s1_members, cand_members, round(shared/cast(x.n+y.n-shared AS double), 9) AS jaccard, round(shared/cast(least(x.n, y.n) AS double), 9) AS overlap FROM i JOIN l x ON x.rep=s1 JOIN l y ON y.rep=cand""",
+    "m6_tfidf_cosine": f"""WITH {_SHARED}, {_IDF}, l AS (SELECT rep, sqrt(sum(w*w)) AS len FROM ct JOIN d ON ct.country=d.country AND ct.token=d.token GROUP BY rep),
+ dot AS (SELECT s1, cand, max(s1_members) AS s1_members, max(cand_members) AS cand_members, sum(w*w) AS dot FROM sh JOIN d ON d.country=sh.country AND d.token=sh.token GROUP BY s1, cand)
+ SELECT s1, cand, s1_members, cand_members, round(dot/(x.len*y.len), 7) AS cosine FROM dot JOIN l x ON x.rep=s1 JOIN l y ON y.rep=cand""",
+    "m8_shared_idf": f"""WITH {_SHARED}, {_IDF} SELECT s1, cand, max(s1_members) AS s1_members, max(cand_members) AS cand_members, round(max(w), 9) AS shared_max, round(sum(w), 9) AS shared_sum FROM sh JOIN d ON d.country=sh.country AND d.token=sh.token GROUP BY s1, cand""",
 }
 
 
