@@ -126,6 +126,26 @@ def test_pair_features(spark, records):
     assert e.name_lev is None and e.name_soft_tfidf is None and e.pb_rank_s1 is None and e.blk_n_keys is None
 
 
+def test_some_features(spark, records, monkeypatch):
+    """A few features are those of all features, and nothing is made that they do not read."""
+    pairs = spark.createDataFrame([("x y", *t, 1.0, 0.9) for t in sorted(TRUE)] + [("x y", "S1-2", "S2-1", 0.2, 0.1), ("x y", "S1-1", "S2-9", 0.1, None)], "country string, s1 string, cand string, score double, p_block double")
+    r = features.feature_records(records)
+    key = lambda x: (x.s1, x.cand)
+    every = {key(x): x for x in features.pair_features(pairs, r).collect()}
+    made = []
+    monkeypatch.setattr(features, "stored", lambda df, name: made.append(name) or df)
+    for starts in [("lf_", "fld_"), ("alias_",), ("x_",), ("name_num", "pin_"), ("s1_n_cand", "cand_n_s1"), ("s1_name_dup", "cand_fw"), *[(s,) for s in features.CONTEXT_READS]]:
+        names = [n for n in features.FEATURES if n.startswith(starts)]
+        got = features.pair_features(pairs, r, names)
+        assert names and got.columns == ["country", "s1", "cand", *names]
+        assert {key(x): tuple(x[n] for n in names) for x in got.collect()} == {k: tuple(x[n] for n in names) for k, x in every.items()}
+    made.clear()
+    names = [n for n in features.FEATURES if n.startswith(("blk_", "evb_"))]
+    got = features.pair_features(pairs, features.record_ids(records), names)
+    assert made == []
+    assert {key(x): tuple(x[n] for n in names) for x in got.collect()} == {k: tuple(x[n] for n in names) for k, x in every.items()}
+
+
 def test_candidates(records):
     out = scoring.candidates(records).collect()
     assert TRUE <= {(r.source1_entity_id, r.candidate_entity_id) for r in out}
