@@ -3,7 +3,7 @@
 An item is (key long, bands); its elements, a set of 64-bit hashes, come from a second scan.  Only pairs
 that share a band are ever compared, and their Jaccard similarity is exact.
 
-1. *Stars.*  The smallest key of a band's items is its centre, and every item is compared with the
+1. *Stars.*  One of a band's items is its centre (see ``groups``), and every item is compared with the
    centres of its bands: as many comparisons as band rows, however large a group is.  Items that are
    not similar to their centre form the band's next group, for ``ROUNDS`` rounds.  Items of many bands need not meet all their centres:
    see ``thin``.
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .util import U64, drop_scratch, mix64, write_scratch
 
@@ -68,14 +69,21 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def groups(bands: DataFrame) -> DataFrame:
+def groups(bands: DataFrame, central: bool = False) -> DataFrame:
     """``bands(key, band)`` to (band, key, centre), for bands of two and more items; the centre is the smallest key.
 
-    One exchange by band serves the minimum, the join and the distinct rows.
+    One exchange by band serves the minimum, the join and the distinct rows.  With ``central`` the centre is the item whose
+    bands have the most items in all, then the smallest key: in a family of near copies that is the text they come from, the same in nearly all
+    bands and similar to every copy, while a copy is often too far from the others.
     """
     dealt = bands.where("band is not null and key is not null").repartition("band")
-    centre = dealt.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("top")).where("centre < top").select("band", "centre")
-    return dealt.join(centre, "band").select("band", "key", "centre").distinct()
+    centre = dealt.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("top"), F.count(F.lit(1)).alias("n")).where("centre < top")
+    if not central:
+        return dealt.join(centre.select("band", "centre"), "band").select("band", "key", "centre").distinct()
+    shared = dealt.join(centre.select("band", "n"), "band").select("band", "key", "n").distinct()
+    shared = shared.withColumn("often", F.sum("n").over(W.partitionBy("key"))).select("band", "key", "often").repartition("band")
+    centre = shared.groupBy("band").agg(F.min(F.struct(-F.col("often"), "key")).getField("key").alias("centre"))
+    return shared.join(centre, "band").select("band", "key", "centre")
 
 
 def _sets(elems: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -306,12 +314,12 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
     ``bands(key, band)``; ``elements`` makes rows (key, elems), with the elements as bytes of 64-bit hashes, at least of the
     keys that a broadcast :class:`Sieve` has; items without a link are absent.
     Where rows of one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
-    With ``thin``, for items of many bands, the centres of half of the bands go first, and an item is compared with those of the other half only
+    With ``thin``, for items of many bands, centres are central items, those of half of the bands go first, and an item is compared with those of the other half only
     where the links found by then do not join them already.
     """
     scratch, links_found, open_ends = [], None, []
     keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
-    members = keep(groups(bands), "members")
+    members = keep(groups(bands, thin), "members")
     # the elements of the items that share a band at all, once
     wanted = members.select("key").distinct()
     elems = elements(bands.sparkSession.sparkContext.broadcast(Sieve(wanted)))
@@ -341,7 +349,7 @@ def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], thresh
             skipped = members.where("key != centre").join(seen.select(F.col("a").alias("key"), F.col("b").alias("centre")), ["key", "centre"], "left_anti")
             skipped = keep(skipped.select("band", "centre", "key"), "skipped")
         open_ends.append((members, seen, far, skipped))
-        members = keep(groups(far.select("key", "band")), "members")
+        members = keep(groups(far.select("key", "band"), thin), "members")
         if members.isEmpty():
             break
     found = components(links_found, f"{name}-stars")

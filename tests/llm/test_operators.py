@@ -352,6 +352,19 @@ def test_bagminhash_is_unbiased():
     assert abs(np.mean(z)) < 0.8 and np.std(z) < 1.6
 
 
+def test_central_groups(spark):
+    """Copies of one text that are far from each other: the text is the centre wherever it is, so each copy has one star to go to."""
+    rng = random.Random(5)
+    text = 1000  # not the smallest key
+    bands = [(text, b) for b in range(32)]
+    for key in range(1, 200):
+        bands += [(key, b if rng.random() < 0.4 else 1000 * key + b) for b in range(32)]
+    with_text = {b for k, b in bands if k != text and b < 32}
+    rows = cluster.groups(spark.createDataFrame(bands, "key long, band long"), True).collect()
+    assert {(r.key, r.band) for r in rows} == {(k, b) for k, b in bands if b < 32 and b in with_text}
+    assert {r.centre for r in rows} == {text}
+
+
 def test_components(spark):
     rng = random.Random(4)
     ids = [rng.randrange(-(2**62), 2**62) for _ in range(300)]
