@@ -30,6 +30,7 @@ no rows.  With no training text N = V = 0 and the base probability is 0.1 / 0.1
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,6 +64,22 @@ def unpack(data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted values, where one of each stands, and the place of every value among them; ``np.unique`` sorts stably for this, which is slower."""
+    order = np.argsort(x)
+    y = x[order]
+    new = np.ones(len(y), bool)
+    new[1:] = y[1:] != y[:-1]
+    inverse = np.empty(len(y), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    return y[new], order[new].astype(np.int32), inverse
+
+
+def log10(x: np.ndarray) -> np.ndarray:
+    """By the natural logarithm, which numpy has as vector code."""
+    return np.log(x) * (1 / math.log(10))
+
+
 class Grams:
     """Tokens of a block and its distinct n-grams, level by level, each with an index into its own level."""
 
@@ -89,8 +106,7 @@ class Grams:
         self.place = place
         self.keys, self.first, self.inverse = {}, {}, {}
         for k in at:
-            self.keys[k], first, inverse = np.unique(at[k] >> U64(64 - bits), return_index=True, return_inverse=True)
-            self.first[k], self.inverse[k] = first.astype(np.int32), inverse.astype(np.int32)
+            self.keys[k], self.first[k], self.inverse[k] = distinct(at[k] >> U64(64 - bits))
 
     @staticmethod
     def start_hash(k: int) -> np.uint64:
@@ -194,6 +210,7 @@ class Automaton:
 
     def __init__(self, g: Grams, total: dict[int, np.ndarray], tokens: int, words: int, texts: int):
         self.g, self.total, self.tokens, self.words = g, total, tokens, words
+        self.memo: dict[tuple[float, ...], tuple] = {}
         order, n = g.order, len(g.doc)
         # states: the k-grams of the block, 0 < k < order, then the start contexts of each length
         base, at = {}, 1
@@ -232,7 +249,7 @@ class Automaton:
         # only n-grams seen in training are arcs; at the root every word has one (a word never seen has the weight of count 0)
         arc = np.flatnonzero((self.count > 0) | (self.level == 1))
         key = self.state[arc] * np.int64(len(g.keys[1]) + 1) + self.word[arc]
-        turn = np.argsort(key, kind="stable")
+        turn = np.argsort(key)  # no two are equal
         self.arc_key, self.arc = key[turn], arc[turn].astype(np.int32)
         # a state that was never seen in training is the state of its longest suffix that was
         self.known = np.arange(states, dtype=np.int32)
@@ -278,25 +295,34 @@ class Automaton:
         return taken, stood
 
     def weights(self, kappa: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
-        """Weight of every arc, and of the failure arcs from every state down to the root."""
-        down = np.zeros(len(self.fail))
-        by_depth = np.concatenate(([0.0], kappa)) if kappa else np.zeros(1)
-        for k in range(1, self.g.order):
-            own = np.flatnonzero(self.depth == k)
-            x = by_depth[k]
-            step = np.where(self.context[own] > 0, np.log10(x / (self.context[own] + x)), 0.0)
-            down[own] = step + down[self.fail[own]]
-        weight = np.empty(len(self.state))
-        for k in range(1, self.g.order + 1):
-            own = np.flatnonzero(self.level == k)
-            if k == 1:
-                weight[own] = np.log10((self.count[own] + SMOOTH) / (self.tokens + SMOOTH * (self.words + 1)))
-                continue
-            x, c, h = by_depth[k - 1], self.count[own], self.context[self.state[own]]
-            low = weight[self.lower[own]]
-            some = np.where(h > 0, np.log10((c + x * 10.0**low) / (h + x)), low)
-            weight[own] = some
-        return weight, down
+        """Weight of every arc, and of the failure arcs from every state down to the root.
+
+        A level depends on the kappas up to its own alone: what kappas with the same beginning share is made once.
+        """
+        low, low_down = self._level(kappa)
+        return np.concatenate([self._level(kappa[:k])[0][1] for k in range(len(kappa))] + [low[1]]), low_down
+
+    def _level(self, kappa: tuple[float, ...]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Probability and weight of the arcs of level 1 + len(kappa), and the weights of the failure arcs of all states up to that depth."""
+        if kappa in self.memo:
+            return self.memo[kappa]
+        k = len(kappa) + 1
+        lo, hi = np.searchsorted(self.level, (k, k + 1))
+        c = self.count[lo:hi]
+        if k == 1:
+            p, down = (c + SMOOTH) / (self.tokens + SMOOTH * (self.words + 1)), np.zeros(len(self.fail))
+        else:
+            (before, _), down = self._level(kappa[:-1])
+            x, h = kappa[-1], self.context[self.state[lo:hi]]
+            low = before[self.lower[lo:hi] - (lo - len(before))]
+            p = np.where(h > 0, (c + x * low) / (h + x), low)
+            own = np.flatnonzero(self.depth == k - 1)
+            down = down.copy()
+            down[own] = np.where(self.context[own] > 0, log10(x / (self.context[own] + x)), 0.0) + down[self.fail[own]]
+        out = (p, log10(p)), down
+        if k < self.g.order:  # the last level is of one kappa only
+            self.memo[kappa] = out
+        return out
 
     def left_out(self, times: np.ndarray, grid: list[tuple[float, ...]]) -> np.ndarray:
         """Log10 probability of the training tokens, each left out of the counts it is scored with, for each kappa of the grid."""
@@ -317,7 +343,7 @@ class Automaton:
                 if kappa[:k] not in memo:
                     arc, h = levels[k - 1]
                     memo[kappa[:k]] = np.where(h > 0, (np.maximum(arc, 0) + kappa[k - 1] * memo[kappa[: k - 1]]) / (np.maximum(h, 0) + kappa[k - 1]), memo[kappa[: k - 1]])
-            out.append(float((np.log10(memo[kappa]) * often).sum()))
+            out.append(float((log10(memo[kappa]) * often).sum()))
         return np.array(out)
 
 
@@ -340,13 +366,17 @@ def _score(shards: int, order: int, bits: int, kappa: tuple[float, ...] | None):
         n = docs.num_rows
         add = lambda x: np.bincount(g.doc, weights=x, minlength=n)
         grid = [kappa] if kappa else _grid(order)
+        fell = np.flatnonzero(stood != m.state[taken])  # only these took failure arcs
+        above, below = stood[fell], m.state[taken[fell]]
         root = g.inverse[1]  # arcs of level 1 come first, in the order of the words
         scores = []
         for x in grid:
             weight, down = m.weights(x)
             if not scores:
                 base = add(weight[root])
-            scores.append(add(weight[taken] + down[stood] - down[m.state[taken]]))
+            x = weight[taken]
+            x[fell] += down[above] - down[below]
+            scores.append(add(x))
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "copies": docs.column("copies"), "n_tokens": g.n_tokens, "n_known": add((total[1][g.inverse[1]] > 0).astype(float)).astype(np.int64),

@@ -352,6 +352,23 @@ def test_bagminhash_is_unbiased():
     assert abs(np.mean(z)) < 0.8 and np.std(z) < 1.6
 
 
+def test_lm_levels_are_shared():
+    """The weights of kappas with the same beginning come from one level, and are those of the definition."""
+    g = lm_score.Grams([b"a b a b c", b"b a c a b"], 3)
+    total = {k: g.counts(k, np.ones(2, np.int64)) for k in g.keys}
+    m = lm_score.Automaton(g, total, 12, 4, 2)
+    for kappa in lm_score._grid(3):
+        weight, down = m.weights(kappa)
+        for i in range(len(weight)):
+            k, c, h = int(m.level[i]), int(m.count[i]), int(m.context[m.state[i]])
+            p = (c + 0.1) / (12 + 0.1 * 5) if k == 1 else (c + kappa[k - 2] * 10 ** weight[m.lower[i]]) / (h + kappa[k - 2])
+            assert abs(10 ** weight[i] - p) < 1e-12
+        for s in np.flatnonzero(m.depth > 0):
+            x, h = kappa[m.depth[s] - 1], m.context[s]
+            assert abs(down[s] - (math.log10(x / (h + x)) if h else 0.0) - down[m.fail[s]]) < 1e-12
+    assert sorted(m.memo) == [(), *[(x,) for x in lm_score.GRID[0]]]
+
+
 def test_central_groups(spark):
     """Copies of one text that are far from each other: the text is the centre wherever it is, so each copy has one star to go to."""
     rng = random.Random(5)
