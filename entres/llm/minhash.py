@@ -35,6 +35,8 @@ from .util import U64, Words, drop_scratch, mix64, multiset, occurrences, slices
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 7
+#: Bytes of text whose shingles are held at once.
+SLICE = 1 << 18
 #: At similarity 0.8 a pair misses all bands with probability (1 - 0.8**7)**32 = 0.0005.
 
 
@@ -113,7 +115,7 @@ class Shingles:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in slices(batches):
+    for part, texts in slices(batches, limit=SLICE):
         s = Shingles(texts)
         keys, bands, size, seen = [], [], [], {}
         for i in range(len(texts)):
@@ -129,7 +131,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _elements(sieve: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches):
+        for part, texts in slices(batches, limit=SLICE):
             s = Shingles(texts)
             keys = np.array([s.content(i) for i in range(len(texts))], np.int64)
             at = np.flatnonzero(sieve.value.has(keys))

@@ -34,7 +34,7 @@ EPOCHS = 6
 RATE = 0.4
 GRAMS = (3, 4, 5)
 #: Bytes of text whose n-grams are held at once (a few hundred bytes of arrays for each).
-SLICE = 1 << 19
+SLICE = 1 << 17
 THRESHOLD = 0.3
 
 
@@ -48,11 +48,14 @@ def features(texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[n
     words = np.concatenate((w.hash, pair))
     word_doc = np.concatenate((w.doc, w.doc[pair_ok]))
     gap = np.concatenate(([0], np.cumsum((w.data == 32) | ((w.data >= 9) & (w.data <= 13)))))
+    ends = np.zeros(len(w.data), bool)
+    ends[w.offsets[1:] - 1] = True
     codes, docs = [], []
     data = w.data.astype(U64)
     for n in GRAMS:
         at = np.arange(len(w.data) - n + 1)
         at = at[gap[at + n - 1] - gap[at + 1] == 0]  # no white space strictly inside
+        at = at[~ends[at]]  # the line break between two texts is in neither: a text's features are its own, whatever stands beside it
         h = np.full(len(at), n, U64)
         for i in range(n):
             h = h * U64(0x100000001B3) + data[at + i] + U64(1)

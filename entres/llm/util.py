@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
@@ -28,6 +29,8 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 #: Texts per numpy batch are bounded by bytes, not by rows: a batch never exceeds this many bytes
 #: unless one text alone does.
 BATCH_BYTES = 1 << 20
+#: Rows of an Arrow batch while a scratch table is written.
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,12 +61,16 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     _LEFT[path] = lambda: fs.delete(p, True)
     freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the shuffles behind a written table are not needed again
-    before = spark.conf.get(freed, "false")
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"  # a batch of whole texts stands in the JVM and in each worker
+    before = {freed: spark.conf.get(freed, "false"), rows: spark.conf.get(rows)}
     spark.conf.set(freed, "true")
+    if not 0 < int(before[rows]) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(freed, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     out = spark.read.schema(df.schema).parquet(path)
     out._entres_path = path
     return out
@@ -90,7 +97,10 @@ def crc_mod(col, n: int):
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cut Arrow batches into pieces of bounded size; yields each piece with its texts as UTF-8 (null: empty)."""
+    """Cut Arrow batches into pieces of bounded size; yields each piece with its texts as UTF-8 (null: empty).
+
+    At the end the worker, which waits for its next task, gives its free memory back.
+    """
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
         sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0)).astype(np.int64)
@@ -100,6 +110,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = B
             part = batch.slice(lo, hi - lo)
             yield part, [b if b is not None else b"" for b in col.slice(lo, hi - lo).cast(pa.binary()).to_pylist()]
             lo = hi
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+    pa.default_memory_pool().release_unused()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -8,9 +8,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow as pa
 import pytest
 
-from entres.llm import cluster, decontaminate, langid, licenses, lm_score, media, minhash, pieces, quality, substring, warc
+from entres.llm import cluster, decontaminate, langid, licenses, lm_score, media, minhash, pieces, quality, substring, util, warc
 from entres.llm.cluster import components
 from entres.llm.util import crc_mod
 from entres.llm.queries import QUERIES
@@ -468,6 +470,29 @@ def test_substring_against_all_pairs(spark):
     assert not [r for r, d in runs.items() if len(d) > 1]
 
 
+def test_quality_score_is_of_the_text_alone():
+    """Which texts share a slice changes no score."""
+    rng = random.Random(3)
+    texts = [prose(rng.randint(1, 40), rng).encode() for _ in range(30)] + [b"", b" a"]
+    folded = np.random.default_rng(1).normal(size=2 * quality.BUCKETS)
+    alone = np.concatenate([quality.scores([t], folded, 0.1) for t in texts])
+    assert np.allclose(quality.scores(texts, folded, 0.1), alone, rtol=0, atol=1e-9)
+
+
+def test_scratch_tables_are_written_in_small_batches(spark):
+    """Batches of whole texts stay small while a scratch table is written, and the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def count(batches):
+        for b in batches:
+            yield pa.record_batch({"n": [b.num_rows]})
+
+    found = util.write_scratch(spark.range(0, 9000, 1, 1).mapInArrow(count, "n long"), "batches")
+    assert found.agg({"n": "max"}).first()[0] <= util.BATCH_ROWS and found.agg({"n": "sum"}).first()[0] == 9000
+    assert spark.conf.get(key) == before
+
+
 def kept_runs(texts):
     """Whether the texts have a paragraph in common."""
     p = substring.Paragraphs([t.encode() for t in texts])
