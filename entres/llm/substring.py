@@ -5,7 +5,10 @@ words the sentence start with the least first-shingle hash, or the word with the
 Sentences end at ``. ! ?`` or a line break and may have any length.  So the choice depends on the words of a
 passage alone (but for its first word, which may start a sentence in one place only): every run of
 ``WINNOW + MIN_WORDS`` = 51 words holds a paragraph that is cut alike wherever the run is pasted.  Of a longer passage
-up to ``WINNOW`` words at either end, and ``WINNOW - MIN_WORDS`` between two paragraphs, can stay.
+paragraphs alone (``repeats``) leave up to ``WINNOW`` words at either end, and ``WINNOW - MIN_WORDS`` between two paragraphs.
+``passages`` looks at these words too, at every position: from each paragraph that occurs in several documents it goes on to the
+left and to the right for as long as an earlier document with the same paragraph has the same words there, up to ``WINNOW`` words,
+and no more can be left of a run before or after its paragraphs.  So a run of 51 words and more is cut to its last word.
 Paragraphs collide when a band of
 their MinHash registers is equal, collisions are decided by exact Jaccard similarity of the sets of
 five-word shingles (``cluster``), and removals are clustered by components: a component's text stays in the
@@ -42,9 +45,13 @@ MIN_WORDS = 20
 WINNOW = 31
 BANDS, ROWS = 6, 7
 THRESHOLD = 0.8
+#: Bytes of text whose paragraphs are held at once.
+SLICE = 1 << 19
 NO_ID = -(1 << 63)
 #: Elements of one verification task.
 CELL = 400_000
+#: Occurrences of paragraphs whose surroundings one task compares; those of a paragraph with more than twice as many go by hashes of the words.
+PLACES = 16_000
 _SALT = mix64(np.arange(1, BANDS * ROWS + 1, dtype=U64))
 
 
@@ -117,9 +124,26 @@ class Paragraphs:
         base = chars[w.offsets[self.doc]]
         return chars[w.start[self.first]] - base, chars[w.end[self.last - 1]] - base
 
+    def around(self, at: np.ndarray) -> np.ndarray:
+        """Of each paragraph in ``at``, the ``WINNOW`` words before it, nearest first, and after it: their hashes (32 bits), then where they start or
+        end in characters of the text, -1 for words that the text has not."""
+        w = self.shingles.words
+        out = np.zeros((len(at), 4, WINNOW), np.int32)
+        if not len(at):
+            return out
+        chars = np.concatenate(([0], np.cumsum((w.data & 0xC0) != 0x80)))
+        doc = self.doc[at]
+        step = np.arange(WINNOW)
+        for side, word, edge in ((0, self.first[at][:, None] - 1 - step, w.start), (1, self.last[at][:, None] + step, w.end)):
+            have = (word >= w.first[doc][:, None]) & (word < w.first[doc + 1][:, None])
+            word = np.where(have, word, 0)
+            out[:, side] = (w.hash[word] >> U64(32)).astype(np.uint32).view(np.int32)
+            out[:, 2 + side] = np.where(have, chars[edge[word]] - chars[w.offsets[doc]][:, None], -1)
+        return out
+
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts in slices(batches):
+    for _, texts in slices(batches, limit=SLICE):
         p = Paragraphs(texts)
         _, at = np.unique(p.key, return_index=True)
         bands = p.bands()[at]
@@ -128,7 +152,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _elements(sieve: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches):
+        for _, texts in slices(batches, limit=SLICE):
             p = Paragraphs(texts)
             _, at = np.unique(p.key, return_index=True)
             at = at[sieve.value.has(p.key[at])]
@@ -138,13 +162,110 @@ def _elements(sieve: Broadcast):
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in slices(batches):
+    for part, texts in slices(batches, limit=SLICE):
         p = Paragraphs(texts)
         start, end = p.spans()
         ids, text_key = part.column(0).take(pa.array(p.doc)), part.column(1).take(pa.array(p.doc))
         yield pa.record_batch({"key": pa.array(p.key), "doc_id": ids, "text_key": text_key, "start": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32))})
 
 
+_AROUND = "key long, doc_id long, text_key long, start int, end int, around binary"
+_SPAN = "doc_id long, text_key long, start int, end int, kept_in long"
+
+
+def _surroundings(sieve: Broadcast, often: Broadcast, large: bool):
+    """Occurrences of repeated paragraphs with the words around them: of those in ``often``, or of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches, limit=SLICE):
+            p = Paragraphs(texts)
+            at = np.flatnonzero(sieve.value.has(p.key) & (np.isin(p.key, often.value) == large))
+            start, end = p.spans()
+            ids, text_key = part.column(0).take(pa.array(p.doc[at])), part.column(1).take(pa.array(p.doc[at]))
+            width = 16 * WINNOW
+            around = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(at), [None, pa.py_buffer(p.around(at).tobytes())]).cast(pa.binary())
+            yield pa.record_batch({"key": pa.array(p.key[at]), "doc_id": ids, "text_key": text_key, "start": pa.array(start[at].astype(np.int32)), "end": pa.array(end[at].astype(np.int32)), "around": around})
+
+    return run
+
+
+def _table(t: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    around = np.frombuffer(b"".join(t.column("around").to_pylist()), np.int32).reshape(-1, 4, WINNOW)
+    return *(t.column(c).to_numpy() for c in ("key", "doc_id", "text_key", "start", "end")), around
+
+
+def _extended(t: pa.Table) -> pa.Table:
+    """What goes before and after paragraphs, as far as an earlier document has the same words around the same paragraph."""
+    key, doc, text, start, end, around = _table(t)
+    order = np.lexsort((text, doc))
+    key, doc, text, start, end, around = key[order], doc[order], text[order], start[order], end[order], around[order]
+    rank = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])))[: len(doc)]
+    found = []
+    for side in (0, 1):
+        words, at = around[:, side].view(np.uint32), around[:, 2 + side]
+        depth, kept = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+        live, group = np.arange(len(doc)), np.unique(key, return_inverse=True)[1]
+        for d in range(WINNOW):
+            some = at[live, d] >= 0
+            live, group = live[some], group[some]
+            if not len(live):
+                break
+            _, head, group = np.unique(group.astype(U64) << U64(32) | words[live, d], return_index=True, return_inverse=True)
+            first = live[head][group]  # rows are in order of documents
+            later = rank[live] > rank[first]
+            depth[live[later]], kept[live[later]] = d + 1, doc[first[later]]
+            on = np.bincount(group, weights=later)[group] > 0
+            live, group = live[on], group[on]
+        go = np.flatnonzero(depth)
+        to = at[go, depth[go] - 1]
+        found.append((doc[go], text[go], start[go] if side else to, to if side else end[go], kept[go]))
+    doc, text, start, end, kept = (np.concatenate(c) for c in zip(*found, strict=True))
+    return pa.table({"doc_id": doc, "text_key": text, "start": start.astype(np.int32), "end": end.astype(np.int32), "kept_in": kept})
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each number of words before or after a paragraph: a hash of paragraph, side and these words, and the span up to there."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 2_000):
+            key, doc, text, start, end, around = _table(batch.slice(lo, 2_000))
+            for side in (0, 1):
+                words, at = around[:, side].view(np.uint32).astype(U64), around[:, 2 + side]
+                h, head = mix64(key.view(U64) + U64(side)), np.empty((len(key), WINNOW), U64)
+                for d in range(WINNOW):
+                    h = head[:, d] = mix64(h * U64(0x9E3779B97F4A7C15) + words[:, d] + U64(1))
+                row, d = np.nonzero(at >= 0)
+                to = at[row, d]
+                yield pa.record_batch({"head": head[row, d].view(np.int64), "doc_id": doc[row], "text_key": text[row], "start": start[row] if side else to, "end": to if side else end[row]})
+
+
+def _extensions(source: DataFrame, ends: DataFrame, many: int) -> DataFrame:
+    """Spans that go on from paragraphs of several documents, ``ends(key, lo, hi, n)``.
+
+    A task compares all occurrences of some paragraphs word by word.  Of a paragraph with more than 2 ``many`` occurrences, each number of words is a row,
+    and the first document of equal rows is an aggregate: no task has all of them.
+    """
+    spark = source.sparkSession
+    several = ends.where("lo < hi")
+    often = np.sort(several.where(F.col("n") > 2 * many).select("key").toArrow().column(0).to_numpy())  # one in 2 ``many`` rows at most
+    total = several.agg(F.sum("n")).first()[0] or 0
+    sieve, common = (spark.sparkContext.broadcast(x) for x in (cluster.Sieve(several.select("key")), often))
+    near = source.mapInArrow(_surroundings(sieve, common, False), _AROUND)
+    bins = max(1, -(-total // many))
+    spans = near.withColumn("home", F.pmod(F.xxhash64("key"), F.lit(bins))).groupBy("home").applyInArrow(_dropped_home, _SPAN)
+    if not len(often):
+        return spans
+    heads = write_scratch(source.mapInArrow(_surroundings(sieve, common, True), _AROUND).mapInArrow(_heads, "head long, doc_id long, text_key long, start int, end int"), "heads")
+    document = F.struct("doc_id", "text_key")
+    # a table of its own, so that the join can split the rows of a common head
+    least = write_scratch(heads.groupBy("head").agg(F.min(document).alias("lo"), F.max(document).alias("hi")).where("lo < hi").select(F.col("head").alias("h"), "lo"), "least")
+    later = heads.join(least, heads["head"] == least["h"]).where(document > F.col("lo"))
+    return spans.union(later.select("doc_id", "text_key", "start", "end", F.col("lo.doc_id").alias("kept_in")))
+
+
+def _dropped_home(t: pa.Table) -> pa.Table:
+    return _extended(t.drop_columns(["home"]))
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join the overlapping spans of each document; a span names the smallest document that keeps its text."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kept_in", pa.int64())]))
@@ -163,21 +284,38 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(docs: DataFrame, threshold: float = THRESHOLD, cell: int = CELL) -> DataFrame:
-    """Spans to remove: doc_id, text_key (xxhash64 of the text), spans array<struct<start, end, kept_in>>."""
+    """Spans of repeated paragraphs: doc_id, text_key (xxhash64 of the text), spans array<struct<start, end, kept_in>>."""
+    return _found(docs, threshold, cell)
+
+
+def passages(docs: DataFrame, threshold: float = THRESHOLD, cell: int = CELL, many: int = PLACES) -> DataFrame:
+    """Spans to remove, as :func:`repeats` but whole: with the words around paragraphs that an earlier document has as well."""
+    return _found(docs, threshold, cell, many)
+
+
+def _found(docs: DataFrame, threshold: float, cell: int, many: int | None = None) -> DataFrame:
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     bands = source.select("text").mapInArrow(_bands, "key long, band long")
     elems = lambda sieve: source.select("text").mapInArrow(_elements(sieve), "key long, elems binary")
     same = cluster.classes(bands, elems, threshold, "same", cell)
     places = write_scratch(source.mapInArrow(_places, "key long, doc_id long, text_key long, start int, end int"), "places")
     document = F.struct("doc_id", "text_key")
-    ends = places.groupBy("key").agg(F.min(document).alias("lo"), F.max(document).alias("hi")).join(same, "key", "left")
+    ends = places.groupBy("key").agg(F.min(document).alias("lo"), F.max(document).alias("hi"), F.count(F.lit(1)).alias("n"))
+    if many:
+        ends = write_scratch(ends.join(same, "key", "left").where("lo < hi or root is not null"), "ends")
+        more = _extensions(source.where("text is not null"), ends, many)
+    else:
+        ends = ends.join(same, "key", "left")
     ends = ends.withColumn("class", F.coalesce("root", "key"))
     heads = ends.groupBy("class").agg(F.min("lo").alias("kept"), F.max("hi").alias("top")).where("kept < top")
     gone = ends.join(heads, "class").select(F.col("key").alias("k"), F.col("kept.doc_id").alias("kept_in"), F.col("kept.text_key").alias("kept_text"))
     hits = places.join(gone, (places.key == gone.k) & ((places.doc_id != gone.kept_in) | (places.text_key != gone.kept_text)))
+    hits = hits.select("doc_id", "text_key", "start", "end", "kept_in")
+    if many:
+        hits = hits.union(more)
     spans = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end", "kept_in")).alias("spans"))
     spans = write_scratch(spans.mapInArrow(_joined, "doc_id long, text_key long, spans array<struct<start:int,end:int,kept_in:long>>"), "spans")
-    drop_scratch(places, same)
+    drop_scratch(places, same, *([ends] if many else []))
     return spans
 
 
@@ -198,10 +336,10 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("s"))
+    found = passages(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("s"))
     return found.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.kept_in").alias("kept_in"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated passages are cut from all documents but one."""
-    return cut(docs, repeats(docs))
+    return cut(docs, passages(docs))

@@ -493,6 +493,42 @@ def test_scratch_tables_are_written_in_small_batches(spark):
     assert spark.conf.get(key) == before
 
 
+def whole_runs(rows, least=51):
+    """(document, word) of every word in a run of ``least`` words that an earlier document has, by comparing all runs."""
+    first, gone = {}, set()
+    for d, t in rows:
+        w = re.findall(r"\S+", (t or "").lower())
+        for i in range(len(w) - least + 1):
+            if first.setdefault(tuple(w[i : i + least]), d) != d:
+                gone |= {(d, j) for j in range(i, i + least)}
+    return gone
+
+
+@pytest.mark.parametrize("many", [substring.PLACES, 2])
+def test_passages_are_cut_to_their_last_word(spark, many):
+    """No word of a repeated run of 51 words stays but in its first document, whichever documents share it, whether occurrences are compared in tasks or by hashes."""
+    rng = random.Random(31)
+    passages = [prose(rng.randint(51, 200), rng) for _ in range(6)]
+    rows = []
+    for i in range(40):
+        parts = [prose(rng.randint(0, 60), rng)]
+        for p in rng.sample(passages, rng.randint(0, 2)):
+            w = p.split()
+            a = rng.randint(0, len(w) - 51)  # documents share parts of a passage, not all with the first
+            parts += [" ".join(w[a : rng.randint(a + 51, len(w))]), prose(rng.randint(0, 60), rng)]
+        rows.append((i, (" " if i % 3 else "\n").join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for r in substring.passages(docs, many=many).collect():
+        at = [(m.start(), m.end()) for m in re.finditer(r"\S+", rows[r.doc_id][1])]
+        got |= {(r.doc_id, i): s.kept_in for s in r.spans for i, (a, b) in enumerate(at) if s.start <= a and b <= s.end}
+    want = whole_runs(rows)
+    assert len(want) > 1000 and not want - set(got)
+    # besides similar paragraphs, words go only where an earlier document has them next to the same words
+    seeds = {(d, i) for d, spans in slow_spans(rows).items() for i, m in enumerate(re.finditer(r"\S+", rows[d][1])) if any(a <= m.start() and m.end() <= b for a, b in spans)}
+    assert want - seeds and all(kept < d for (d, _), kept in got.items()) and not set(got) - seeds - whole_runs(rows, 21)
+
+
 def kept_runs(texts):
     """Whether the texts have a paragraph in common."""
     p = substring.Paragraphs([t.encode() for t in texts])
