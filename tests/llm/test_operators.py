@@ -9,7 +9,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow as pa
 import pytest
 
 from entres.llm import cluster, decontaminate, langid, licenses, lm_score, media, minhash, pieces, quality, substring, util, warc
