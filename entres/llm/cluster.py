@@ -22,7 +22,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -69,17 +69,23 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def groups(bands: DataFrame, central: bool = False) -> DataFrame:
+def groups(bands: DataFrame, central: bool = False, repeated: Column | None = None) -> DataFrame:
     """``bands(key, band)`` to (band, key, centre), for bands of two and more items; the centre is the smallest key.
 
     One exchange by band serves the minimum, the join and the distinct rows.  With ``central`` the centre is the item whose
     bands have the most items in all, then the smallest key: in a family of near copies that is the text they come from, the same in nearly all
-    bands and similar to every copy, while a copy is often too far from the others.
+    bands and similar to every copy, while a copy is often too far from the others.  With ``repeated``, a condition on bands, items that occur more
+    than once and are alone in such a band come too, without a centre.
     """
     dealt = bands.where("band is not null and key is not null").repartition("band")
-    centre = dealt.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("top"), F.count(F.lit(1)).alias("n")).where("centre < top")
+    centre = dealt.groupBy("band").agg(F.min("key").alias("centre"), F.max("key").alias("top"), F.count(F.lit(1)).alias("n"))
+    if repeated is not None:
+        centre = centre.where((F.col("centre") < F.col("top")) | (F.col("n") > 1) & repeated).withColumn("centre", F.when(F.col("centre") < F.col("top"), F.col("centre")))
+    else:
+        centre = centre.where("centre < top")
     if not central:
-        return dealt.join(centre.select("band", "centre"), "band").select("band", "key", "centre").distinct()
+        # few of many bands are left: a table of them spares sorting all rows
+        return dealt.join(centre.select("band", "centre").hint("shuffle_hash"), "band").select("band", "key", "centre").distinct()
     shared = dealt.join(centre.select("band", "n"), "band").select("band", "key", "n").distinct()
     shared = shared.withColumn("often", F.sum("n").over(W.partitionBy("key"))).select("band", "key", "often").repartition("band")
     centre = shared.groupBy("band").agg(F.min(F.struct(-F.col("often"), "key")).getField("key").alias("centre"))
@@ -308,21 +314,25 @@ class Sieve:
         return (self.bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
 
 
-def classes(bands: DataFrame, elements: Callable[[Broadcast], DataFrame], threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None, thin: bool = False) -> DataFrame:
+def classes(bands: DataFrame, elements: Callable[..., DataFrame], threshold: float, name: str, cell: int = CELL, rounds: int = ROUNDS, leads: DataFrame | None = None, thin: bool = False, repeated: Column | None = None) -> DataFrame:
     """(key, root) of the components of all pairs that share a band and have at least ``threshold`` similarity.
 
     ``bands(key, band)``; ``elements`` makes rows (key, elems), with the elements as bytes of 64-bit hashes, at least of the
     keys that a broadcast :class:`Sieve` has; items without a link are absent.
     Where rows of one key differ, ``leads(key, lead)`` says which is meant by their column ``lead``.
     With ``thin``, for items of many bands, centres are central items, those of half of the bands go first, and an item is compared with those of the other half only
-    where the links found by then do not join them already.
+    where the links found by then do not join them already.  With ``repeated`` (see :func:`groups`) ``elements`` gets a second sieve, of these items and those that share a band.
     """
     scratch, links_found, open_ends = [], None, []
     keep = lambda df, what: scratch.append(write_scratch(df, f"{name}-{what}")) or scratch[-1]
-    members = keep(groups(bands, thin), "members")
+    members = keep(groups(bands, thin, repeated), "members")
+    send, sieves = bands.sparkSession.sparkContext.broadcast, []
+    if repeated is not None:
+        sieves = [send(Sieve(members.select("key")))]
+        members = members.where("centre is not null")
     # the elements of the items that share a band at all, once
     wanted = members.select("key").distinct()
-    elems = elements(bands.sparkSession.sparkContext.broadcast(Sieve(wanted)))
+    elems = elements(send(Sieve(wanted)), *sieves)
     own = elems.join(wanted.join(leads, "key"), ["key", "lead"]) if leads else elems.join(wanted, "key")
     elems = keep(own.groupBy("key").agg(F.min("elems").alias("elems")).withColumn("size", F.floor(F.octet_length("elems") / 8)), "elements")
     for _ in range(rounds):
