@@ -158,8 +158,9 @@ def judged(edges: DataFrame, elems: DataFrame, name: str, cell: int) -> DataFram
     return out
 
 
-def links(flat: np.ndarray, edge: np.ndarray, side: np.ndarray, root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of sets with similarity of at least ``threshold`` whose roots differ.
+def links(flat: np.ndarray, edge: np.ndarray, side: np.ndarray, root: np.ndarray, threshold: float, bands: list[list[int]]) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets with similarity of at least ``threshold`` whose roots differ
+    and that share one of ``bands``.
 
     Where ``side`` has two values only pairs across them are looked at.  Overlaps of one item with all
     earlier ones are counted over the postings of its elements; items of the commonest root come first
@@ -204,13 +205,13 @@ def links(flat: np.ndarray, edge: np.ndarray, side: np.ndarray, root: np.ndarray
             ok &= side[j] != side[i]
         for k in j[ok]:
             a, b = find(int(i)), find(int(k))
-            if a != b:
+            if a != b and not set(bands[i]).isdisjoint(bands[k]):
                 parent[max(a, b)] = min(a, b)
                 out.append((int(i), int(k)))
     return out
 
 
-def links_within(flat: np.ndarray, edge: np.ndarray, home: np.ndarray, side: np.ndarray, root: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+def links_within(flat: np.ndarray, edge: np.ndarray, home: np.ndarray, side: np.ndarray, root: np.ndarray, threshold: float, bands: list[list[int]]) -> list[tuple[int, int]]:
     """As :func:`links` for many homes at once; pairs of one home only.  A home whose postings make more than ``PAIRS`` pairs goes to :func:`links`."""
     size = np.diff(edge)
     row = np.repeat(np.arange(len(home)), size)
@@ -237,7 +238,7 @@ def links_within(flat: np.ndarray, edge: np.ndarray, home: np.ndarray, side: np.
             rows = np.flatnonzero(home == at[heads[lo]])
             some = np.concatenate([flat[edge[i] : edge[i + 1]] for i in rows])
             cut = np.concatenate(([0], np.cumsum(size[rows])))
-            out += [(int(rows[i]), int(rows[j])) for i, j in links(some, cut, side[rows], root[rows], threshold)]
+            out += [(int(rows[i]), int(rows[j])) for i, j in links(some, cut, side[rows], root[rows], threshold, [bands[i] for i in rows])]
             lo += 1
             continue
         part = slice(bound[lo], bound[hi])
@@ -252,7 +253,7 @@ def links_within(flat: np.ndarray, edge: np.ndarray, home: np.ndarray, side: np.
         ok = over >= threshold * (size[i] + size[j] - over) - 1e-9
         for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
             a, b = find(x), find(y)
-            if a != b:
+            if a != b and not set(bands[x]).isdisjoint(bands[y]):
                 parent[max(a, b)] = min(a, b)
                 out.append((x, y))
     return out
@@ -263,24 +264,24 @@ def _compare(threshold: float):
         t = _distinct(t, "key", "side", "home")
         key, side, root, home = (t.column(c).to_numpy() for c in ("key", "side", "root", "home"))
         flat, edge = _sets(t.column("elems").to_pylist())
-        pairs = links_within(flat, edge, home, side, root, threshold)
+        pairs = links_within(flat, edge, home, side, root, threshold, t.column("bands").to_pylist())
         return pa.table({"a": pa.array([int(key[i]) for i, _ in pairs], pa.int64()), "b": pa.array([int(key[j]) for _, j in pairs], pa.int64())})
 
     return run
 
 
 def compared(cells: DataFrame, elems: DataFrame, threshold: float, cell: int) -> DataFrame:
-    """Links between the items of each home of ``cells(home, side, key, root)`` whose roots differ.
+    """Links between the items of each home of ``cells(home, side, key, root, bands)`` whose roots differ and that share a band.
 
     Side 0 meets side 1, and side 2 meets itself.  Small homes share a task.  A side larger than ``cell`` is dealt into
     blocks, and each pair of blocks that have to meet is a task.
     """
-    sized = cells.distinct().join(elems.select("key", "size"), "key")
+    sized = cells.join(elems.select("key", "size"), "key")
     n = sized.groupBy("home").pivot("side", [0, 1, 2]).agg(F.ceil(F.sum("size") / F.lit(cell)))
     n = n.select("home", *[F.coalesce(F.col(str(s)), F.lit(1)).cast("int").alias(f"n{s}") for s in (0, 1, 2)]).where("n0 + n1 + n2 > 3")
     bins = max(1, -(-2 * (sized.agg(F.sum("size")).first()[0] or 0) // cell))
     one = [F.coalesce(f"n{s}", F.lit(1)).alias(f"n{s}") for s in (0, 1, 2)]
-    placed = sized.join(write_scratch(n, "blocks"), "home", "left").select("home", "side", "key", "root", F.col("n0").isNull().alias("small"), *one)
+    placed = sized.join(write_scratch(n, "blocks"), "home", "left").select("home", "side", "key", "root", "bands", F.col("n0").isNull().alias("small"), *one)
     block = lambda count: F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
     every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
     mine = F.when(F.col("side") == 0, block("n0")).when(F.col("side") == 1, block("n1")).otherwise(block("n2"))
@@ -291,8 +292,8 @@ def compared(cells: DataFrame, elems: DataFrame, threshold: float, cell: int) ->
     # blocks of side 2 that meet another block are two sides; a block that meets itself is one
     side = F.when((F.col("side") < 2) | (F.col("mine") == F.col("other")), F.col("side")).otherwise(F.col("mine") + 3)
     task = F.when(F.col("small"), F.pmod(F.xxhash64("home"), F.lit(bins))).otherwise(F.col("home")).alias("task")
-    wanted = placed.select(task, "home", "small", i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", "key")
-    met = elems.join(wanted.hint("merge"), "key").select("task", "home", "small", "i", "j", "side", "root", "key", "elems")
+    wanted = placed.select(task, "home", "small", i.alias("i"), j.alias("j"), side.cast("long").alias("side"), "root", "key", "bands")
+    met = elems.join(wanted.hint("merge"), "key").select("task", "home", "small", "i", "j", "side", "root", "key", "bands", "elems")
     return met.groupBy("task", "small", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
 
 
@@ -368,8 +369,10 @@ def classes(bands: DataFrame, elements: Callable[..., DataFrame], threshold: flo
     # what rounds of stars left: side 2 of the band's own home
     rest = named(members.select("band", "key"), "key", "root")
     several = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    cells = rest.join(several, "band").select(F.col("band").alias("home"), F.lit(2).alias("side"), "key", "root")
-    for mine, seen, far, skipped in open_ends:
+    cells = rest.join(several, "band").select(F.col("band").alias("home"), F.lit(2).alias("side"), "key", "root", F.array("band").alias("bands"))
+    # an item that is open against a centre in many bands stands in the centre's home once, with these bands
+    once = lambda df, n, side: df.groupBy(F.xxhash64("centre", F.lit(n)).alias("home"), F.lit(side).alias("side"), "key", "root").agg(F.collect_set("band").alias("bands"))
+    for n, (mine, seen, far, skipped) in enumerate(open_ends):
         within = far.where(F.col("j") >= 2 * threshold - 1 - 1e-9)
         if skipped:
             within = within.union(far.where(F.col("j") < 2 * threshold - 1 - 1e-9).join(skipped.select("band", "centre").distinct(), ["band", "centre"], "left_semi").select(*far.columns))
@@ -377,15 +380,14 @@ def classes(bands: DataFrame, elements: Callable[..., DataFrame], threshold: flo
         between = keep(between.select("band", "centre", "key", "root"), "between")
         if between.isEmpty():
             continue
-        home = F.xxhash64("band", "centre")
-        cells = cells.union(between.select(home, F.lit(1), "key", "root"))
+        cells = cells.union(once(between, n, 1))
         ends = between.select("band", "centre").distinct()
         close = mine.join(ends, ["band", "centre"]).join(seen.where(F.col("j") >= threshold), (F.col("key") == F.col("a")) & (F.col("centre") == F.col("b")))
         close = close.select("band", "centre", "key")
         if skipped:
             close = close.union(skipped.join(ends, ["band", "centre"], "left_semi").select("band", "centre", "key"))
         close = named(close.union(ends.select("band", "centre", F.col("centre").alias("key"))), "key", "root")
-        cells = cells.union(close.select(home, F.lit(0), "key", "root"))
+        cells = cells.union(once(close, n, 0))
     cells = keep(cells, "cells")
     out = found
     if not cells.isEmpty():

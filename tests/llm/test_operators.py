@@ -383,6 +383,25 @@ def test_central_groups(spark):
     assert {r.centre for r in rows} == {text}
 
 
+def test_open_items_stand_once_in_the_home_of_a_centre(spark, monkeypatch):
+    """Items that are between near and far of the same centre in many bands are dealt to be compared once, not once a band."""
+    rng = random.Random(12)
+    base = [rng.getrandbits(62) for _ in range(30)]
+    sets = {1: set(base)}
+    for k in range(2, 40):
+        x = list(base)
+        for i in rng.sample(range(30), 2 if k % 2 else 5):
+            x[i] = rng.getrandbits(62)
+        sets[k] = set(x)
+    cells, real = [], cluster.compared
+    monkeypatch.setattr(cluster, "compared", lambda c, *a: cells.append([(r.home, r.key) for r in c.collect()]) or real(c, *a))
+    bands = spark.createDataFrame([(k, b) for k in sets for b in range(16)], "key long, band long")
+    elems = spark.createDataFrame([(k, np.array(sorted(x), np.uint64).tobytes()) for k, x in sets.items()], "key long, elems binary")
+    cluster.classes(bands, lambda sieve: elems, 0.8, "t", 10**6, 1, thin=True).collect()
+    centres = [x for x in cells[0] if x[0] not in range(16)]  # other homes are bands
+    assert len(centres) == len(set(centres)) == len(sets)
+
+
 def test_components(spark):
     rng = random.Random(4)
     ids = [rng.randrange(-(2**62), 2**62) for _ in range(300)]
@@ -528,6 +547,25 @@ def test_passages_are_cut_to_their_last_word(spark, many):
     assert want - seeds and all(kept < d for (d, _), kept in got.items()) and not set(got) - seeds - whole_runs(rows, 21)
 
 
+def test_equal_surroundings_are_not_compared():
+    """A passage that all documents have alike sends no words but those at its ends, and a line that a document repeats one row."""
+    rng = random.Random(4)
+    run, line = " ".join(rng.choices(VOCAB, k=400)), " ".join(rng.choices(VOCAB, k=24)) + "."
+    texts = [prose(40, rng) + " " + run + " " + " ".join([line] * 50) for _ in range(5)]
+
+    class All:
+        value = type("S", (), {"has": staticmethod(lambda keys: np.ones(len(keys), bool))})
+
+    batch = pa.record_batch({"doc_id": pa.array(range(5), pa.int64()), "text_key": pa.array(range(5), pa.int64()), "text": texts})
+    facts = pa.Table.from_batches(substring._facts(All, All)([batch])).to_pandas()
+    differ = [set(facts.key[(facts.doc_lo < facts.doc_hi) & (facts[f"{c}_lo"] < facts[f"{c}_hi"])]) for c in "lr"]
+    several = set(facts.key[facts.doc_lo < facts.doc_hi])
+    assert len(several) > 15 and len(differ[0]) <= 4 and len(differ[1]) <= 4
+    sieve = lambda keys: type("B", (), {"value": type("S", (), {"has": staticmethod(lambda k: np.isin(k, list(keys)))})})
+    found = pa.Table.from_batches(substring._occurrences(sieve(several), tuple(map(sieve, differ)))([batch])).to_pandas()
+    assert not found[found.side == 2].duplicated(["key", "doc_id"]).any() and (found.side < 2).sum() < 5 * 12
+
+
 def kept_runs(texts):
     """Whether the texts have a paragraph in common."""
     p = substring.Paragraphs([t.encode() for t in texts])
