@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import cluster
 from .cluster import CELL
-from .util import U64, Words, drop_scratch, mix64, multiset, occurrences, slices, table, unit, write_scratch
+from .util import U64, Words, _powers, drop_scratch, mix64, multiset, occurrences, slices, table, unit, write_scratch
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -90,10 +90,12 @@ class Shingles:
     def __init__(self, texts: list[bytes], k: int = SHINGLE):
         w = self.words = Words(texts)
         self.k = k
-        n = max(0, len(w.hash) - k + 1)
-        run = np.full(n, k, dtype=U64)
-        for i in range(k):
-            run = mix64(run * U64(0x9E3779B97F4A7C15) + w.hash[i : i + n])
+        n = len(w.hash)
+        self.fwd, back = _powers(n + 1)
+        self.total = np.zeros(n + 1, U64)  # differences, times a power, are hashes of runs of words
+        np.cumsum(mix64(w.hash) * back[:n], out=self.total[1:])
+        n = max(0, n - k + 1)
+        run = mix64((self.total[k : k + n] - self.total[:n]) * self.fwd[:n] + U64(k))
         self.run = run
 
     def of(self, i: int) -> np.ndarray:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from . import cluster
 from .minhash import Shingles
-from .util import U64, _powers, drop_scratch, mix64, slices, table, write_scratch
+from .util import U64, drop_scratch, mix64, slices, table, write_scratch
 
 MIN_WORDS = 20
 WINNOW = 31
@@ -55,7 +55,8 @@ NO_ID = -(1 << 63)
 CELL = 400_000
 #: Surroundings of paragraphs that one task compares; those of a paragraph with more than twice as many go by hashes of the words.
 PLACES = 16_000
-_SALT = mix64(np.arange(1, BANDS * ROWS + 1, dtype=U64))
+_SALT = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=U64)) >> U64(32)).astype(np.uint32)
+_ODD = mix64(np.arange(101, ROWS + 101, dtype=U64)) | U64(1)
 
 
 def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
@@ -98,23 +99,19 @@ class Paragraphs:
         size = np.diff(np.append(head, len(doc)))
         chosen |= np.repeat(size < WINNOW, size) & (mark == np.repeat(np.minimum.reduceat(mark, head), size))
         self.first, self.last, self.doc = able[chosen], able[chosen] + MIN_WORDS, doc[chosen]
-        fwd, back = _powers(n + 1)
-        total = np.concatenate((np.zeros(1, U64), np.cumsum(mix64(w.hash) * back[:n])))
+        total, fwd = s.total, s.fwd
         self.key = mix64((total[self.last] - total[self.first]) * fwd[self.first] ^ (self.last - self.first).astype(U64)).view(np.int64)
-        self.total, self.fwd = total, fwd
-
-    def bands(self) -> np.ndarray:
-        """Band keys, one row a paragraph."""
-        run, out = self.shingles.run, np.empty((len(self.key), BANDS), np.int64)
-        ends = self.last - self.shingles.k + 1
-        pairs = np.column_stack((self.first, ends)).ravel()
-        padded = np.append(run, U64(0))
-        low = [np.minimum.reduceat((padded ^ salt) * (salt | U64(1)), pairs)[::2] for salt in _SALT] if len(pairs) else []
-        for b in range(BANDS if len(pairs) else 0):
-            h = np.full(len(self.key), (b + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, U64)
-            for r in range(ROWS):
-                h = mix64(h + low[b * ROWS + r])
-            out[:, b] = (h & ~U64(7) | U64(b)).view(np.int64)  # the band's number stands in the last bits
+
+    def bands(self, at: np.ndarray) -> np.ndarray:
+        """Band keys, one row a paragraph of ``at``, which ascends."""
+        run, out = self.shingles.run, np.empty((len(at), BANDS), np.int64)
+        # 32 bits of a shingle are enough for a register: what they confuse is a candidate more, never a link
+        run, width = run.view(np.uint32)[::2].copy(), MIN_WORDS - self.shingles.k + 1
+        for b in range(BANDS if len(at) else 0):
+            h = np.full(len(at), (b + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, U64)
+            for salt, odd in zip(_SALT[b * ROWS : (b + 1) * ROWS], _ODD, strict=True):
+                h += sliding(np.minimum, (run ^ salt) * (salt | np.uint32(1)), width)[self.first[at]] * odd
+            out[:, b] = (mix64(h) & ~U64(7) | U64(b)).view(np.int64)  # the band's number stands in the last bits
         return out
 
     def elements(self, at: np.ndarray) -> pa.Array:
@@ -124,11 +121,12 @@ class Paragraphs:
     def stretches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each paragraph the first word of the one before it and the last (excluded) of the one after it, or the text's; hashes (32 bits)
         of the words from there up to the paragraph and from its end on, and of which of both it is."""
+        total, fwd = self.shingles.total, self.shingles.fwd
         first, near = self.shingles.words.first, self.doc[1:] == self.doc[:-1]
         before, after = np.append(False, near), np.append(near, False)
         left = np.where(before, np.roll(self.first, 1), first[self.doc])
         right = np.where(after, np.roll(self.last, -1), first[self.doc + 1])
-        short = lambda a, b, kind: (mix64((self.total[b] - self.total[a]) * self.fwd[a] ^ ((b - a) * 2 + kind).astype(U64)) >> U64(32)).astype(np.uint32).view(np.int32)
+        short = lambda a, b, kind: (mix64((total[b] - total[a]) * fwd[a] ^ ((b - a) * 2 + kind).astype(U64)) >> U64(32)).astype(np.uint32).view(np.int32)
         return left, right, short(left, self.first, before), short(self.last, right, after)
 
     def chars(self) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +178,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, texts in slices(batches, limit=SLICE):
         p = Paragraphs(texts)
         _, at = np.unique(p.key, return_index=True)
-        bands = p.bands()[at]
+        at.sort()
+        bands = p.bands(at)
         yield pa.record_batch({"key": np.repeat(p.key[at], BANDS), "band": bands.ravel()})
 
 

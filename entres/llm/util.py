@@ -149,7 +149,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """S with S[j]-S[i] = sum of code(data[k]) * BASE**-k over i <= k < j, all modulo 2**64."""
     out = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum(_BYTE_CODE[data] * _powers(len(data))[1], out=out[1:])
+    np.multiply(_BYTE_CODE[data], _powers(len(data))[1], out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 
@@ -159,11 +160,6 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64((prefix[ends] - prefix[starts]) * fwd[starts] ^ (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
-#: Separators between words: space and \t \n \v \f \r.
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 class Words:
@@ -176,9 +172,10 @@ class Words:
         sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
         self.offsets = np.concatenate(([0], np.cumsum(sizes)))
         raw = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8) if texts else np.zeros(0, np.uint8)
-        self.data = _LOWER[raw] if lower else raw
-        inside = ~_SPACE[raw]
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
+        self.data = raw + ((raw - np.uint8(65)) < 26).view(np.uint8) * np.uint8(32) if lower else raw
+        inside = np.zeros(len(raw) + 2, bool)
+        inside[1:-1] = (raw != 32) & ((raw - np.uint8(9)) > 4)  # bytes below 9 wrap around
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
         self.start, self.end = edge[0::2], edge[1::2]
         self.prefix = prefix_hash(self.data)
         self.hash = span_hash(self.prefix, self.start, self.end)
