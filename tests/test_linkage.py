@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from entres.functions import strings
 from entres.operators import cleaning, decide, features, index, learn, ranking_ops, scoring
 from entres.plans import linkage
 from entres.sources import files
@@ -194,6 +195,23 @@ def test_learning(spark, records, tmp_path):
     assert hits > 0.8 and out.count() == text.count()
 
 
+def test_partial_passes(monkeypatch):
+    """The windows of :func:`strings.partial` one by one, and how few of them are looked at."""
+    calls, rng = [], random.Random(5)
+    common = strings.common
+    monkeypatch.setattr(strings, "common", lambda a, b: calls.append(1) or common(a, b))
+    for _ in range(500):
+        a, b = ("".join(rng.choices("abcd", k=rng.randrange(12))) for _ in "ab")
+        s, t = sorted((a, b), key=len)
+        n = len(s)
+        whole = [(s, t[i : i + n]) for i in range(len(t) - n + 1)] + [(s, w) for i in range(1, n) for w in (t[:i], t[-i:])]
+        whole += [(t, w) for i in range(1, n) for w in (s[:i], s[-i:])] if len(s) == len(t) else []
+        want = max(2.0 * common(x, y) / (len(x) + len(y)) for x, y in whole) if n else float(not t)
+        assert strings.partial(a, b) == want
+    calls.clear()
+    assert strings.partial("northwind trading", "alpha beta gamma delta northwind trading") == 1.0 and len(calls) < 25  # 57 windows
+
+
 def test_graph_rounds(spark, records, scored):
     text = scored.where("p is not null").select("country", F.concat(F.lit("S1-"), "s1").alias("s1"), F.concat(F.lit("S2-"), "cand").alias("cand"), "p", "label")
     x = learn.with_folds(text, 2).withColumn("raw1", F.col("p") * 2)
