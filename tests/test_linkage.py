@@ -1,6 +1,8 @@
 """Linkage operators on small frames: against plain Python, planted matches, round trips."""
 
+import math
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -212,6 +214,28 @@ def test_partial_passes(monkeypatch):
     assert strings.partial("northwind trading", "alpha beta gamma delta northwind trading") == 1.0 and len(calls) < 25  # 57 windows
 
 
+def test_weighted_columns(spark, records):
+    r = spark.createDataFrame([("x", 1, ["a", "b", "a"], ["a"]), ("x", 2, ["b"], None), ("y", 3, ["b"], ["c", "b"])], "country string, id int, u array<string>, v array<string>")
+    got = {x.id: x for x in features._weighted(r, {"u": "uw", "v": "vw"}).collect()}
+    idf = lambda df, n: (math.log((1 + n) / (1 + df)) + 1) / (math.log(1 + n) + 1)
+    text = lambda v: [(t.token, round(t.w, 9)) for t in v]
+    want = lambda *v: [(t, round(idf(df, n), 9)) for t, df, n in v]
+    assert [text(got[i].uw) for i in (1, 2, 3)] == [want(("a", 1, 2), ("b", 2, 2)), want(("b", 2, 2)), want(("b", 1, 1))]
+    assert [text(got[i].vw) for i in (1, 2, 3)] == [want(("a", 1, 2)), [], want(("b", 1, 1), ("c", 1, 1))]
+    begun = index.ready(records)
+    keys = lambda k: sorted(tuple(x) for x in k.collect())
+    assert keys(index.family_keys(records, begun)) == keys(index.family_keys(records))
+    block = lambda b: sorted((x.id, sorted(x.R), round(x.A_sum, 9), x.low, x.name_amb) for x in b.collect())
+    assert block(scoring.block_records(records, begun)) == block(scoring.block_records(records))
+
+
+def test_made_once(spark):
+    made = []
+    table = linkage._once("test", lambda s, d: made.append(d) or time.sleep(0.5) or s.range(1), write=False)
+    linkage._at_once(spark, "/none", table, table, table)
+    assert made == ["/none"] and table(spark, "/none").count() == 1
+
+
 def test_graph_rounds(spark, records, scored):
     text = scored.where("p is not null").select("country", F.concat(F.lit("S1-"), "s1").alias("s1"), F.concat(F.lit("S2-"), "cand").alias("cand"), "p", "label")
     x = learn.with_folds(text, 2).withColumn("raw1", F.col("p") * 2)
