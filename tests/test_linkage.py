@@ -229,6 +229,29 @@ def test_weighted_columns(spark, records):
     assert block(scoring.block_records(records, begun)) == block(scoring.block_records(records))
 
 
+def test_sums_of_any_order(spark):
+    """Scores and rarity sums are the same to the last digit however the rows are dealt."""
+    rng = random.Random(6)
+    index_ = spark.createDataFrame([("x", f, f"k{i}", 1, 1, rng.random()) for f in range(4) for i in range(9)], "country string, family int, key string, kn1 long, kn2 long, w double")
+    rows = [("x", side, f"{side}{n}", f, f"k{i}") for side in "sc" for n in range(12) for f in range(4) for i in range(9)]
+    found = []
+    for parts in (1, 5, 9):
+        rng.shuffle(rows)
+        keys = spark.createDataFrame(rows, "country string, side string, id string, family int, key string").repartition(parts)
+        got = index.pairs(keys, index_.repartition(parts)).collect()
+        assert len(got) == 144 and len({r.score for r in got}) == 1
+        found.append(got[0].score)
+    assert len(set(found)) == 1 and abs(found[0] - sum(r.w for r in index_.collect())) < 1e-9
+    words = [f"w{i}" for i in range(30)]
+    side = [("x", "s", i, rng.sample(words, 20)) for i in range(40)]
+    sums = set()
+    for parts in (1, 5, 9):
+        for_all = [("x", "c", i, rng.sample(words, 30)) for i in range(40)]
+        r = spark.createDataFrame([*side, *for_all], "country string, side string, id int, raw array<string>").repartition(parts)
+        sums |= {x.R_sum for x in scoring._rarity(r, {"raw": "R"}).where("side = 'c'").collect()}
+    assert len(sums) == 1
+
+
 def test_made_once(spark):
     made = []
     table = linkage._once("test", lambda s, d: made.append(d) or time.sleep(0.5) or s.range(1), write=False)
